@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The jobs this library rebuilds are batch full refreshes (a daily reload and two
+table rebuilds); they have no stream source, watermark, window or state.  No
+streaming operator is added here.
+"""
