@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from loyalflow.config import Program
 from loyalflow.functions import flag, int_id, rollup_partner
-from loyalflow.operators.identity import attach_encrypt_phone, phone_members
+from loyalflow.operators.identity import phone_members
+from loyalflow.operators.joins import left_join_spread_nulls
 from loyalflow.operators.lists import BASE_COLUMNS, historical_base
 from loyalflow.sources import Sources
 
@@ -28,13 +29,15 @@ def historical_base_flags(src: Sources, program: Program, group_two: DataFrame,
     The member id is not output, so the final DISTINCT folds the fan-out back; a phone
     whose members disagree on a flag keeps one row per flag combination.
 
-    Rows without an encrypted phone cannot reach a member: they skip the member joins
-    (so they do not pile up in one NULL-key shuffle partition) and get flags 0.
+    Rows without an encrypted phone or member cannot match; their NULL keys are spread
+    over the shuffle instead of landing in one partition (``left_join_spread_nulls``).
     """
     strict = program.strict_id_cast
     if base is None:
         base = historical_base(src.lists, program)
-    with_enc = attach_encrypt_phone(base, src.encrypt_phone)
+    spread = ["phone", "partner"]
+    enc = src.encrypt_phone.select(F.col("phone"), "encrypt_phone")
+    with_enc = left_join_spread_nulls(base, enc, ["phone"], spread=["partner", "historical_vip_tier"])
 
     by_partner = group_two.select(
         int_id("member_detail_id", strict).alias("_mid"),
@@ -43,19 +46,13 @@ def historical_base_flags(src: Sources, program: Program, group_two: DataFrame,
     total = src.not_belong_total.select(int_id("member_detail_id", strict).alias("_mid")).distinct() \
         .withColumn("_ttl", F.lit(True))
 
-    has_enc = with_enc.filter(F.col("encrypt_phone").isNotNull())
-    no_enc = with_enc.filter(F.col("encrypt_phone").isNull())
-
     members = phone_members(src.crm_member_phone)
-    resolved = has_enc.join(members, "encrypt_phone", "left").withColumn(
-        "_mid", int_id("phone_member_id", strict))
-    flagged = (resolved
-               .join(by_partner, ["_mid", "partner"], "left")
-               .join(total, ["_mid"], "left")
-               .select(*BASE_COLUMNS, "encrypt_phone",
-                       flag(F.col("_g2").isNotNull()).alias("if_not_belong_nor_wecom_by_partner"),
-                       flag(F.col("_ttl").isNotNull()).alias("if_not_belong_nor_wecom_total")))
-    unresolved = no_enc.select(*BASE_COLUMNS, "encrypt_phone",
-                               F.lit(0).alias("if_not_belong_nor_wecom_by_partner"),
-                               F.lit(0).alias("if_not_belong_nor_wecom_total"))
-    return flagged.unionByName(unresolved).select(*K2_COLUMNS).distinct()
+    resolved = left_join_spread_nulls(with_enc, members, ["encrypt_phone"], spread) \
+        .withColumn("_mid", int_id("phone_member_id", strict))
+    flagged = left_join_spread_nulls(resolved, by_partner, ["_mid", "partner"], spread)
+    flagged = left_join_spread_nulls(flagged, total, ["_mid"], spread)
+    return flagged.select(
+        *BASE_COLUMNS, "encrypt_phone",
+        flag(F.col("_g2").isNotNull()).alias("if_not_belong_nor_wecom_by_partner"),
+        flag(F.col("_ttl").isNotNull()).alias("if_not_belong_nor_wecom_total"),
+    ).select(*K2_COLUMNS).distinct()

@@ -10,19 +10,20 @@ Shape of the plan:
   dimension and overall belong date on the int member id, then to ``partner_profile``
   on (int member id, partner).
 
-Rows that cannot match (no encrypted phone, or no member behind it) skip the joins
-and are unioned back with NULL / 0 columns, so NULL keys never pile up in one
-shuffle partition.  Every join is LEFT, so every base row survives.
+Rows that cannot match (no encrypted phone, or no member behind it) keep NULL keys;
+their rows are spread over the shuffle by ``left_join_spread_nulls`` instead of piling
+into one partition.  Every join is LEFT, so every base row survives.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loyalflow.config import Program, RunContext
 from loyalflow.functions import batch_date, flag, int_id, pad_id
 from loyalflow.operators.identity import phone_members
+from loyalflow.operators.joins import left_join_spread_nulls
 from loyalflow.operators.membership import reg_belong_rows
 from loyalflow.operators.orders import (
     last_order_details,
@@ -127,11 +128,6 @@ def partner_profile(m: dict[str, DataFrame], program: Program) -> DataFrame:
     return pp.withColumn("_mbp", F.lit(True))
 
 
-def _null_like(df: DataFrame, cols: list[str]) -> list[Column]:
-    types = dict(df.dtypes)
-    return [F.lit(None).cast(types[c]).alias(c) for c in cols]
-
-
 def migration_performance(src: Sources, program: Program, base: DataFrame,
                           run: RunContext | None = None) -> DataFrame:
     """B24 + B25: the 38-column wide table (K3 column order)."""
@@ -149,20 +145,12 @@ def migration_performance(src: Sources, program: Program, base: DataFrame,
         int_id("member_detail_id", strict).alias("_mid"), "belong_to_chn_dt").withColumn("_mb", F.lit(True))
 
     base = base.select(*BASE_PASS_THROUGH, "encrypt_phone")
+    spread = ["phone", "partner"]
     members = phone_members(src.crm_member_phone)
-    with_member = (base.filter(F.col("encrypt_phone").isNotNull())
-                   .join(members, "encrypt_phone", "left")
-                   .withColumn("_mid", int_id("phone_member_id", strict)))
-    reachable = with_member.filter(F.col("_mid").isNotNull())
-    wide = (reachable
-            .join(mbr, ["_mid"], "left")
-            .join(overall, ["_mid"], "left")
-            .join(pp, ["_mid", "partner"], "left"))
-    # rows with no member id: same columns, nothing matched
-    unreachable = base.filter(F.col("encrypt_phone").isNull()).unionByName(
-        with_member.filter(F.col("_mid").isNull()).select(*BASE_PASS_THROUGH, "encrypt_phone"))
-    fill = [c for c in wide.columns if c not in unreachable.columns]
-    wide = wide.unionByName(unreachable.select("*", *_null_like(wide, fill)))
+    wide = left_join_spread_nulls(base, members, ["encrypt_phone"], spread) \
+        .withColumn("_mid", int_id("phone_member_id", strict))
+    wide = left_join_spread_nulls(wide, [mbr, overall], ["_mid"], spread)
+    wide = left_join_spread_nulls(wide, pp, ["_mid", "partner"], spread)
 
     joined = F.col("_mbr_id").isNotNull()
     in_base = F.col("_mb").isNotNull()

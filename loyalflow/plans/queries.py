@@ -15,7 +15,8 @@ from loyalflow.plans.cutoff_group import cutoff_group
 from loyalflow.plans.historical_base import historical_base_flags
 from loyalflow.plans.migration import K3_COLUMNS, migration_performance
 from loyalflow.sources import Sources
-from loyalflow.sources.fixtures import load_fixture_sources
+from loyalflow.session import materialize
+from loyalflow.sources.fixtures import fixture_sources
 
 P = FIXTURE_PROGRAM
 RUN = RunContext()
@@ -24,7 +25,7 @@ QueryFn = Callable[[SparkSession, str], DataFrame]
 
 
 def _src(spark: SparkSession, root: str) -> Sources:
-    return load_fixture_sources(spark, root, P)
+    return fixture_sources(spark, root, P)
 
 
 def _lists(keys: list[str]) -> QueryFn:
@@ -152,12 +153,19 @@ def padded_member_id(spark, root):
     ).distinct()
 
 
+def _k1(src: Sources) -> DataFrame:
+    """Cutoff group, written as a table like the job's output (K1)."""
+    return materialize(cutoff_group(src, P), "cutoff_group")
+
+
 def _k2(src: Sources) -> DataFrame:
-    return historical_base_flags(src, P, cutoff_group(src, P))
+    """Historical base, written as a table like the job's output (K2)."""
+    return materialize(historical_base_flags(src, P, _k1(src)), "historical_base")
 
 
 def historical_base_flags_q(spark, root):
-    return _k2(_src(spark, root))
+    src = _src(spark, root)
+    return historical_base_flags(src, P, _k1(src))
 
 
 def member_profile_flags(spark, root):

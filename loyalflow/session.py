@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -47,14 +48,31 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     is unset (local tests) a fresh scratch folder is made for this run.
     """
     sc = spark.sparkContext
-    current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        current = tempfile.mkdtemp(prefix="loyalflow-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    sc.setCheckpointDir(current)
-    return current
+    current = sc.getCheckpointDir()
+    if current:
+        return current
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if not configured:
+        configured = tempfile.mkdtemp(prefix="loyalflow-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+    sc.setCheckpointDir(configured)
+    return sc.getCheckpointDir() or configured
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint folder (survives lost executors)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as parquet into a fresh folder under the checkpoint folder; read it back.
+
+    The hand-over between jobs (the warehouse writes a table, the next job reads it):
+    lineage stops here, a lost executor re-runs only unfinished write tasks, and the
+    reader gets a plain parquet scan with column pruning and filter pushdown.
+    """
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark)
+    path = f"{base.rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)
