@@ -72,14 +72,14 @@ def net_sales_by_partner(orders: DataFrame, program: Program) -> DataFrame:
             .agg(net_sales(program).alias("mbr_sales")))
 
 
-def member_order_single_pass(orders: DataFrame, program: Program) -> DataFrame:
-    """A4 (purchase branch), A6, A7, A8, A9 in one grouped pass over the RRP lines.
-
-    GROUPING SETS ((member), (partner, member)); ``level`` says which set a row is from
-    (a real NULL partner and the rolled-up member row look alike, so never split on the
-    NULL partner).  Order counts exist only where an effective line exists, so
-    ``has_eff`` carries that presence and ``order_count`` is NULL without it.
-    Distinct counts are not additive across partners: both levels are counted, not summed.
+def order_grain(orders: DataFrame, program: Program) -> DataFrame:
+    """The RRP lines reduced to one row per (partner, member, order).
+
+    Everything the daily job needs per member comes from this table: order counts
+    (an order counts when it has an effective line), net sales, the purchase branch of
+    the belong date, and the paid time that ranks the last order.  The reduction runs
+    map-side before the shuffle, and the shuffle key includes the order id, so a member
+    with a huge share of the lines is still spread over many tasks.
     """
     eff = eff_line()
     belong = (eff & (F.col("is_member") == program.member_yes)
@@ -93,19 +93,57 @@ def member_order_single_pass(orders: DataFrame, program: Program) -> DataFrame:
         sales_out(program).alias("_out"),
         belong.alias("_belong"),
         F.when(belong, F.to_date("date_id")).alias("_belong_dt"),
+        (eff & F.col("order_paid_time").isNull()).alias("_paid_null"),
+        F.when(eff, F.col("order_paid_time")).alias("_paid"),
     )
-    agg = lines.groupingSets(
-        [["crm_member_id"], ["partner", "crm_member_id"]], "partner", "crm_member_id"
-    ).agg(
-        F.grouping_id().alias("_gid"),
+    return lines.groupBy("partner", "crm_member_id", "original_order_id").agg(
         F.bool_or("_eff").alias("has_eff"),
-        F.count_distinct(F.when(F.col("_eff"), F.col("original_order_id"))).alias("_orders"),
-        (F.sum("_in") - F.sum("_out")).cast(SALES_TYPE).alias("mbr_sales"),
+        F.sum("_in").alias("s_in"),
+        F.sum("_out").alias("s_out"),
         F.bool_or("_belong").alias("has_belong"),
         F.min("_belong_dt").alias("belong_dt"),
+        F.bool_or("_paid_null").alias("paid_null"),
+        F.max("_paid").alias("paid_max"),
     )
-    return agg.select(
-        F.when(F.col("_gid") == 0, F.lit("partner")).otherwise(F.lit("member")).alias("level"),
+
+
+def _rollup_metrics(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Order-grain rows -> presence flags, distinct effective orders, net sales, belong date."""
+    counted = F.col("has_eff") & F.col("original_order_id").isNotNull()
+    return df.groupBy(*keys).agg(
+        F.bool_or("has_eff").alias("has_eff"),
+        F.count_if(counted).alias("_orders"),
+        (F.sum("s_in") - F.sum("s_out")).cast(SALES_TYPE).alias("mbr_sales"),
+        F.bool_or("has_belong").alias("has_belong"),
+        F.min("belong_dt").alias("belong_dt"),
+    )
+
+
+def member_order_single_pass(orders: DataFrame, program: Program, grain: DataFrame | None = None) -> DataFrame:
+    """A4 (purchase branch), A6, A7, A8, A9 from one reduction of the RRP lines.
+
+    ``level`` = 'partner' rows are per (partner, member), 'member' rows per member over
+    all partners.  Distinct order counts are not additive across partners (one order can
+    carry several partners), so the member level first folds the order-grain rows to
+    (member, order) and counts those; sales are summed.  Order counts exist only where an
+    effective line exists: ``has_eff`` carries that presence and ``order_count`` is NULL
+    without it, as in the separate grouped queries.
+    """
+    if grain is None:
+        grain = order_grain(orders, program)
+    by_partner = _rollup_metrics(grain, ["partner", "crm_member_id"]).withColumn("level", F.lit("partner"))
+    per_order = grain.groupBy("crm_member_id", "original_order_id").agg(
+        F.bool_or("has_eff").alias("has_eff"),
+        F.sum("s_in").alias("s_in"),
+        F.sum("s_out").alias("s_out"),
+        F.bool_or("has_belong").alias("has_belong"),
+        F.min("belong_dt").alias("belong_dt"),
+    )
+    by_member = (_rollup_metrics(per_order, ["crm_member_id"])
+                 .withColumn("level", F.lit("member"))
+                 .withColumn("partner", F.lit(None).cast("string")))
+    return by_partner.unionByName(by_member).select(
+        "level",
         "partner",
         "crm_member_id",
         "has_eff",
@@ -116,17 +154,24 @@ def member_order_single_pass(orders: DataFrame, program: Program) -> DataFrame:
     )
 
 
-def last_order_ranked(orders: DataFrame, program: Program) -> DataFrame:
+def last_order_ranked(orders: DataFrame, program: Program, grain: DataFrame | None = None) -> DataFrame:
     """The last effective order per (partner, member).
 
     ORDER BY paid time DESC with NULL as the largest value (a NULL paid time wins);
-    the order id breaks ties.  Map-side partial top-1 before the shuffle.
+    the order id breaks ties.  Ranks order-grain rows, not lines; ``row_number() = 1``
+    plans a map-side partial top-1 before the shuffle.
     """
-    lines = rrp_lines(orders).filter(eff_line() & F.col("crm_member_id").isNotNull()).select(
-        partner_col(program).alias("partner"), "crm_member_id", "original_order_id", "order_paid_time")
+    if grain is None:
+        grain = order_grain(orders, program)
+    cand = grain.filter(F.col("has_eff") & F.col("crm_member_id").isNotNull())
     w = Window.partitionBy("partner", "crm_member_id").orderBy(
-        F.col("order_paid_time").desc_nulls_first(), F.col("original_order_id").desc_nulls_last())
-    return lines.withColumn("_rk", F.row_number().over(w)).filter(F.col("_rk") == 1).drop("_rk")
+        F.col("paid_null").desc(), F.col("paid_max").desc_nulls_first(),
+        F.col("original_order_id").desc_nulls_last())
+    top = cand.withColumn("_rk", F.row_number().over(w)).filter(F.col("_rk") == 1)
+    return top.select(
+        "partner", "crm_member_id", "original_order_id",
+        F.when(~F.col("paid_null"), F.col("paid_max")).alias("order_paid_time"),
+    )
 
 
 def _listagg(c: Column) -> Column:
