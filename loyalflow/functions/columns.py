@@ -35,19 +35,23 @@ def flag(cond: Column) -> Column:
     return F.when(cond, F.lit(1)).otherwise(F.lit(0))
 
 
-def tier_flag(tier: str | Column, high_tiers: tuple[str, ...]) -> Column:
+def _quote(v: str) -> str:
+    return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def tier_flag(tier: str, high_tiers: tuple[str, ...]) -> Column:
     """'1' for a high tier, '0' for anything else including NULL."""
-    return F.when(_col(tier).isin(list(high_tiers)), F.lit("1")).otherwise(F.lit("0"))
+    if not high_tiers:
+        return F.lit("0")
+    return F.expr(f"CASE WHEN `{tier}` IN ({', '.join(_quote(t) for t in high_tiers)}) THEN '1' ELSE '0' END")
 
 
-def tier_number(tier: str | Column, ranks: tuple[str, ...]) -> Column:
+def tier_number(tier: str, ranks: tuple[str, ...]) -> Column:
     """Position of the tier in ``ranks`` (1-based); NULL for unranked tiers."""
-    tier = _col(tier)
-    expr = None
-    for i, name in enumerate(ranks, start=1):
-        expr = (F.when(tier == name, F.lit(i)) if expr is None
-                else expr.when(tier == name, F.lit(i)))
-    return expr if expr is not None else F.lit(None).cast("int")
+    if not ranks:
+        return F.lit(None).cast("int")
+    whens = " ".join(f"WHEN {_quote(name)} THEN {i}" for i, name in enumerate(ranks, start=1))
+    return F.expr(f"CASE `{tier}` {whens} END")
 
 
 def batch_date(ts: Column) -> Column:

@@ -60,9 +60,9 @@ def build_list(spec: ListSpec, lists: Mapping[str, DataFrame], program: Program)
         src = _side_tier(src, lists[spec.side], spec)
         raw_tier = F.col("_side_tier")
         tier = F.when(raw_tier.isNotNull(), raw_tier).otherwise(F.lit(spec.default_tier))
-        flag = tier_flag(raw_tier, spec.high_tiers)
+        flag = tier_flag("_side_tier", spec.high_tiers)
         if spec.tier_rank:
-            tier_num = tier_number(raw_tier, spec.tier_rank)
+            tier_num = tier_number("_side_tier", spec.tier_rank)
     else:
         tier = F.col(spec.tier) if spec.tier else _null()
         if spec.flag == "side_match":
@@ -70,11 +70,11 @@ def build_list(spec: ListSpec, lists: Mapping[str, DataFrame], program: Program)
             distributor = F.col("_side_distributor")
             flag = F.when(F.col("_side_hit").isNotNull(), F.lit("1")).otherwise(F.lit("0"))
         elif spec.flag == "tier":
-            flag = tier_flag(tier, spec.high_tiers)
+            flag = tier_flag(spec.tier, spec.high_tiers) if spec.tier else F.lit("0")
         else:
             flag = _null()
-        if spec.tier_rank:
-            tier_num = tier_number(tier, spec.tier_rank)
+        if spec.tier_rank and spec.tier:
+            tier_num = tier_number(spec.tier, spec.tier_rank)
 
     out = src.select(
         strip_commas(spec.phone).alias("phone"),
