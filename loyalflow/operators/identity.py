@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loyalflow.operators.joins import left_join_spread_nulls
+
 
 def attach_encrypt_phone(base: DataFrame, encrypt_phone: DataFrame) -> DataFrame:
     """LEFT JOIN the phone -> encrypted phone lookup on the clean phone."""
@@ -23,6 +25,7 @@ def identity_resolution(base: DataFrame, encrypt_phone: DataFrame, crm_member_ph
     phones = base.select("phone").distinct()
     with_enc = attach_encrypt_phone(phones, encrypt_phone)
     members = phone_members(crm_member_phone)
-    return (with_enc.join(members, "encrypt_phone", "left")
+    # phones without an encrypted form keep a NULL key: spread them over the shuffle
+    return (left_join_spread_nulls(with_enc, members, ["encrypt_phone"], ["phone"])
             .select("phone", "encrypt_phone", F.col("phone_member_id").alias("member_detail_id"))
             .distinct())

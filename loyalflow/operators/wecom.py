@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from loyalflow.config import Program
 from loyalflow.functions import rollup_partner
+from loyalflow.operators.joins import left_join_spread_nulls
 
 
 def wecom_pairs(src, program: Program, keep_unbound: bool = True) -> DataFrame:
@@ -23,13 +24,15 @@ def wecom_pairs(src, program: Program, keep_unbound: bool = True) -> DataFrame:
     staff = src.staff.filter(
         F.col("store_code").isNotNull() & (F.col("channel") == program.staff_channel)
     ).select("staff_ext_id", rollup_partner("distributor", program.rollup_daily_order).alias("partner_customized"))
-    rel = src.relation.filter(F.col("relation_deleted") == 0).select("staff_ext_id", "external_user_unionid")
+    rel = src.relation.filter(F.col("relation_deleted") == 0).select(
+        "staff_ext_id", "external_user_unionid", "relation_created_at")
     bind = src.bind.filter(
         (F.col("id_type") == program.bind_id_type) & (F.col("thirdparty_app_id") == program.bind_app_id)
     ).select(F.col("id_value").alias("external_user_unionid"), "member_detail_id")
     linked = rel.join(staff, "staff_ext_id", "inner")
     if keep_unbound:
-        pairs = linked.join(bind, "external_user_unionid", "left")
+        # relations without a union id keep a NULL key; spread them instead of one partition
+        pairs = left_join_spread_nulls(linked, bind, ["external_user_unionid"], ["staff_ext_id", "relation_created_at"])
     else:
         pairs = linked.join(bind, "external_user_unionid", "inner")
     return pairs.select("member_detail_id", "partner_customized").distinct()
