@@ -63,14 +63,18 @@ def member_metrics(src: Sources, program: Program, run: RunContext,
     Returns belong_by_partner (A4), belong_overall (A5), member totals (A6/A7 in one
     frame), partner totals (A8/A9 in one frame), last_purchase (B19), wecom (B21).
 
-    The order-grain table feeds three branches that each prune different columns, so
-    Spark would rebuild it per branch; ``keep_grain`` writes it once to the checkpoint
-    folder (also a lineage cut) and the branches read it back.
+    The order-grain table and the per-member metrics built from it each feed several
+    branches that keep different columns, so Spark would rebuild them per branch (no
+    exchange reuse across differently pruned plans); ``keep_grain`` writes both once to
+    the checkpoint folder (also a lineage cut) and the branches read them back.
     """
     grain = order_grain(src.orders, program)
     if keep_grain:
         grain = materialize(grain, "order_grain")
     single = member_order_single_pass(src.orders, program, grain)
+    if keep_grain:
+        # read by five joins that each keep different columns: write it once too
+        single = materialize(single, "member_order_metrics")
     member_level = single.filter(F.col("level") == "member")
     partner_level = single.filter(F.col("level") == "partner")
 
