@@ -158,12 +158,16 @@ def last_order_ranked(orders: DataFrame, program: Program, grain: DataFrame | No
     """The last effective order per (partner, member).
 
     ORDER BY paid time DESC with NULL as the largest value (a NULL paid time wins);
-    the order id breaks ties.  Ranks order-grain rows, not lines; ``row_number() = 1``
-    plans a map-side partial top-1 before the shuffle.
+    the order id breaks ties.  ``row_number() = 1`` plans a map-side partial top-1
+    before the shuffle.  Ranks the order-grain rows when the caller already has them
+    (one row per order instead of per line), else the effective lines directly.
     """
     if grain is None:
-        grain = order_grain(orders, program)
-    cand = grain.filter(F.col("has_eff") & F.col("crm_member_id").isNotNull())
+        cand = rrp_lines(orders).filter(eff_line() & F.col("crm_member_id").isNotNull()).select(
+            partner_col(program).alias("partner"), "crm_member_id", "original_order_id",
+            F.col("order_paid_time").isNull().alias("paid_null"), F.col("order_paid_time").alias("paid_max"))
+    else:
+        cand = grain.filter(F.col("has_eff") & F.col("crm_member_id").isNotNull())
     w = Window.partitionBy("partner", "crm_member_id").orderBy(
         F.col("paid_null").desc(), F.col("paid_max").desc_nulls_first(),
         F.col("original_order_id").desc_nulls_last())

@@ -15,7 +15,6 @@ from loyalflow.plans.cutoff_group import cutoff_group
 from loyalflow.plans.historical_base import historical_base_flags
 from loyalflow.plans.migration import K3_COLUMNS, migration_performance
 from loyalflow.sources import Sources
-from loyalflow.session import materialize
 from loyalflow.sources.fixtures import fixture_sources
 
 P = FIXTURE_PROGRAM
@@ -154,13 +153,14 @@ def padded_member_id(spark, root):
 
 
 def _k1(src: Sources) -> DataFrame:
-    """Cutoff group, written as a table like the job's output (K1)."""
-    return materialize(cutoff_group(src, P), "cutoff_group")
+    """Cutoff group (K1).  Read once by the next job, so it stays part of one plan here;
+    a deployment writes it with ``sinks.replace_table`` and the next job reads the table."""
+    return cutoff_group(src, P)
 
 
 def _k2(src: Sources) -> DataFrame:
-    """Historical base, written as a table like the job's output (K2)."""
-    return materialize(historical_base_flags(src, P, _k1(src)), "historical_base")
+    """Historical base (K2), same hand-over as K1."""
+    return historical_base_flags(src, P, _k1(src))
 
 
 def historical_base_flags_q(spark, root):
