@@ -119,29 +119,61 @@ def _rollup_metrics(df: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
+def _metric_lines(orders: DataFrame, program: Program) -> DataFrame:
+    eff = eff_line()
+    belong = (eff & (F.col("is_member") == program.member_yes)
+              & F.col("distributor_name").contains(program.channel_pattern))
+    return rrp_lines(orders).select(
+        partner_col(program).alias("partner"),
+        "crm_member_id",
+        "original_order_id",
+        eff.alias("_eff"),
+        sales_in(program).alias("_in"),
+        sales_out(program).alias("_out"),
+        belong.alias("_belong"),
+        F.when(belong, F.to_date("date_id")).alias("_belong_dt"),
+    )
+
+
+def _level_metrics(lines: DataFrame, keys: list[str]) -> DataFrame:
+    """One aggregate per level with a single distinct count: Spark plans it without an
+    Expand; map-side it keeps one row per (keys, effective order) and folds every
+    non-effective line of a group into one NULL-order row before the shuffle."""
+    return lines.groupBy(*keys).agg(
+        F.bool_or("_eff").alias("has_eff"),
+        F.count_distinct(F.when(F.col("_eff"), F.col("original_order_id"))).alias("_orders"),
+        (F.sum("_in") - F.sum("_out")).cast(SALES_TYPE).alias("mbr_sales"),
+        F.bool_or("_belong").alias("has_belong"),
+        F.min("_belong_dt").alias("belong_dt"),
+    )
+
+
 def member_order_single_pass(orders: DataFrame, program: Program, grain: DataFrame | None = None) -> DataFrame:
-    """A4 (purchase branch), A6, A7, A8, A9 from one reduction of the RRP lines.
+    """A4 (purchase branch), A6, A7, A8, A9: one aggregate per level instead of four.
 
     ``level`` = 'partner' rows are per (partner, member), 'member' rows per member over
     all partners.  Distinct order counts are not additive across partners (one order can
-    carry several partners), so the member level first folds the order-grain rows to
-    (member, order) and counts those; sales are summed.  Order counts exist only where an
-    effective line exists: ``has_eff`` carries that presence and ``order_count`` is NULL
-    without it, as in the separate grouped queries.
+    carry several partners), so each level counts its own.  Order counts exist only where
+    an effective line exists: ``has_eff`` carries that presence and ``order_count`` is
+    NULL without it, as in the separate grouped queries.  With an order-grain table the
+    levels are rolled up from it instead of from the lines.
     """
     if grain is None:
-        grain = order_grain(orders, program)
-    by_partner = _rollup_metrics(grain, ["partner", "crm_member_id"]).withColumn("level", F.lit("partner"))
-    per_order = grain.groupBy("crm_member_id", "original_order_id").agg(
-        F.bool_or("has_eff").alias("has_eff"),
-        F.sum("s_in").alias("s_in"),
-        F.sum("s_out").alias("s_out"),
-        F.bool_or("has_belong").alias("has_belong"),
-        F.min("belong_dt").alias("belong_dt"),
-    )
-    by_member = (_rollup_metrics(per_order, ["crm_member_id"])
-                 .withColumn("level", F.lit("member"))
-                 .withColumn("partner", F.lit(None).cast("string")))
+        lines = _metric_lines(orders, program)
+        by_partner = _level_metrics(lines, ["partner", "crm_member_id"])
+        by_member = _level_metrics(lines, ["crm_member_id"])
+    else:
+        by_partner = _rollup_metrics(grain, ["partner", "crm_member_id"])
+        per_order = grain.groupBy("crm_member_id", "original_order_id").agg(
+            F.bool_or("has_eff").alias("has_eff"),
+            F.sum("s_in").alias("s_in"),
+            F.sum("s_out").alias("s_out"),
+            F.bool_or("has_belong").alias("has_belong"),
+            F.min("belong_dt").alias("belong_dt"),
+        )
+        by_member = _rollup_metrics(per_order, ["crm_member_id"])
+    by_partner = by_partner.withColumn("level", F.lit("partner"))
+    by_member = by_member.withColumn("level", F.lit("member")).withColumn("partner", F.lit(None).cast("string"))
     return by_partner.unionByName(by_member).select(
         "level",
         "partner",

@@ -3,10 +3,10 @@
 Shape of the plan:
 
 * ``partner_profile`` - everything keyed by (member, partner): first belong date, order
-  counts and net sales (total and per partner), last purchase, wecom connection.  Built
-  from one reduction of the order lines to (partner, member, order) grain, which feeds
-  the partner and member totals and the last-order ranking, plus one read of the
-  last orders' lines: the order-line fact is scanned twice instead of seven times.
+  counts and net sales (total and per partner), last purchase, wecom connection.  One
+  aggregate per level (partner, member) replaces the four grouped queries and the
+  purchase branch of the belong date; with the last-order ranking and one read of the
+  last orders' lines the order-line fact is scanned four times instead of seven.
 * the base rows are resolved to members (encrypted phone), then joined to the member
   dimension and overall belong date on the int member id, then to ``partner_profile``
   on (int member id, partner).
@@ -30,7 +30,6 @@ from loyalflow.operators.orders import (
     last_order_details,
     last_order_ranked,
     member_order_single_pass,
-    order_grain,
 )
 from loyalflow.operators.wecom import wecom_pairs
 from loyalflow.session import materialize
@@ -63,17 +62,14 @@ def member_metrics(src: Sources, program: Program, run: RunContext,
     Returns belong_by_partner (A4), belong_overall (A5), member totals (A6/A7 in one
     frame), partner totals (A8/A9 in one frame), last_purchase (B19), wecom (B21).
 
-    The order-grain table and the per-member metrics built from it each feed several
-    branches that keep different columns, so Spark would rebuild them per branch (no
-    exchange reuse across differently pruned plans); ``keep_grain`` writes both once to
-    the checkpoint folder (also a lineage cut) and the branches read them back.
+    The per-member metrics feed five joins that keep different columns, so Spark would
+    rebuild them per join (no exchange reuse across differently pruned plans);
+    ``keep_grain`` writes them once to the checkpoint folder (also a lineage cut) and the
+    joins read them back.
     """
-    grain = order_grain(src.orders, program)
+    single = member_order_single_pass(src.orders, program)
     if keep_grain:
-        grain = materialize(grain, "order_grain")
-    single = member_order_single_pass(src.orders, program, grain)
-    if keep_grain:
-        # read by five joins that each keep different columns: write it once too
+        # read by five joins that each keep different columns: write it once
         single = materialize(single, "member_order_metrics")
     member_level = single.filter(F.col("level") == "member")
     partner_level = single.filter(F.col("level") == "partner")
@@ -85,7 +81,7 @@ def member_metrics(src: Sources, program: Program, run: RunContext,
         F.min("belong_dt").alias("belong_by_partner_dt"))
     overall = by_partner.groupBy("member_detail_id").agg(F.min("belong_by_partner_dt").alias("belong_to_chn_dt"))
 
-    last = last_order_details(src.orders, src.store, program, last_order_ranked(src.orders, program, grain))
+    last = last_order_details(src.orders, src.store, program, last_order_ranked(src.orders, program))
     wecom = wecom_pairs(src, program, keep_unbound=False)
     return {
         "belong_by_partner": by_partner,
