@@ -166,7 +166,8 @@ def migration_performance(src: Sources, program: Program, base: DataFrame,
     joined = F.col("_mbr_id").isNotNull()
     in_base = F.col("_mb").isNotNull()
     in_partner = F.col("_mbp").isNotNull()
-    run_ts = F.lit(run.run_ts).cast("timestamp_ntz")
+    # a TIMESTAMP_NTZ literal: the stamp does not move with the session time zone
+    run_ts = F.expr(f"TIMESTAMP_NTZ '{run.run_ts.isoformat(sep=' ')}'")
     return wide.select(
         *BASE_PASS_THROUGH,
         flag(F.to_date("join_time") <= F.lit(program.cutoff_last_day)).alias("if_joined_brand_by_cutoff"),

@@ -47,15 +47,28 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     On a cluster that setting names a shared folder and is used as given.  Only when it
     is unset (local tests) a fresh scratch folder is made for this run.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no SparkContext on the client
+        sc = None
+    current = sc.getCheckpointDir() if sc is not None else None
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        configured = tempfile.mkdtemp(prefix="loyalflow-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir() or configured
+    if configured:
+        if sc is not None:
+            sc.setCheckpointDir(configured)
+        return configured
+    global _SCRATCH
+    if _SCRATCH is None:
+        _SCRATCH = tempfile.mkdtemp(prefix="loyalflow-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+    if sc is not None:
+        sc.setCheckpointDir(_SCRATCH)
+        return sc.getCheckpointDir() or _SCRATCH
+    return _SCRATCH
+
+
+_SCRATCH: str | None = None
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

@@ -288,7 +288,7 @@ _MATERIALIZED: dict[tuple[str, str], Sources] = {}
 def fixture_sources(spark: SparkSession, root: str, program: Program = FIXTURE_PROGRAM) -> Sources:
     from loyalflow.session import ensure_checkpoint_dir
 
-    key = (spark.sparkContext.applicationId, os.path.abspath(root))
+    key = (spark.conf.get("spark.app.id", "app"), os.path.abspath(root))
     if key in _MATERIALIZED:
         return _MATERIALIZED[key]
     lazy = load_fixture_sources(spark, root, program)
