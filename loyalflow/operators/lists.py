@@ -51,8 +51,8 @@ def _side_match(src: DataFrame, side: DataFrame, spec: ListSpec) -> DataFrame:
     return src.join(side, src["_phone"] == side["_side_phone"], "left")
 
 
-def build_list(spec: ListSpec, lists: Mapping[str, DataFrame], program: Program) -> DataFrame:
-    """One partner list in the unified 8-column shape, deduplicated per its spec."""
+def _shape(spec: ListSpec, lists: Mapping[str, DataFrame], program: Program) -> DataFrame:
+    """One partner list in the unified 8-column shape plus ``_tier_number``, not yet deduplicated."""
     src = lists[spec.key]
     distributor = _null()
     tier_num = None
@@ -88,7 +88,17 @@ def build_list(spec: ListSpec, lists: Mapping[str, DataFrame], program: Program)
         (tier_num if tier_num is not None else F.lit(None).cast("int")).alias("_tier_number"),
     )
 
-    if spec.tier_rank or spec.rank_by_join_dt:
+    return out
+
+
+def _ranked(spec: ListSpec) -> bool:
+    return bool(spec.tier_rank or spec.rank_by_join_dt)
+
+
+def build_list(spec: ListSpec, lists: Mapping[str, DataFrame], program: Program) -> DataFrame:
+    """One partner list in the unified 8-column shape, deduplicated per its spec."""
+    out = _shape(spec, lists, program)
+    if _ranked(spec):
         out = top1_per_phone(out, by_tier=bool(spec.tier_rank), tier_pick=program.tier_pick)
     elif spec.distinct:
         out = out.select(*BASE_COLUMNS).distinct()
@@ -98,8 +108,9 @@ def build_list(spec: ListSpec, lists: Mapping[str, DataFrame], program: Program)
 def top1_per_phone(df: DataFrame, by_tier: bool, tier_pick: str = "lowest") -> DataFrame:
     """Keep one row per phone: ranked tier first, then the latest join date.
 
-    NULL order follows the warehouse the lists were written for (NULL sorts as the
-    largest value): an unranked tier loses, a missing join date wins.  The remaining
+    One row per (partner, phone).  NULL order follows the warehouse the lists were
+    written for (NULL sorts as the largest value): an unranked tier loses, a missing
+    join date wins.  The remaining
     columns break ties so the pick is deterministic.  ``row_number() = 1`` plans as a
     map-side partial ``WindowGroupLimit``, so a phone repeated millions of times is cut
     down before the shuffle.
@@ -112,11 +123,27 @@ def top1_per_phone(df: DataFrame, by_tier: bool, tier_pick: str = "lowest") -> D
     order += [F.col(c).desc_nulls_last() for c in
               ("historical_vip_tier", "historical_city", "historical_join_channel",
                "distributor", "if_historical_high_vip_tier")]
-    w = Window.partitionBy("phone").orderBy(*order)
+    w = Window.partitionBy("partner", "phone").orderBy(*order)
     return df.withColumn("_rk", F.row_number().over(w)).filter(F.col("_rk") == 1).drop("_rk")
 
 
 def historical_base(lists: Mapping[str, DataFrame], program: Program) -> DataFrame:
-    """UNION ALL of every partner list in the program."""
-    parts = [build_list(spec, lists, program) for spec in program.lists]
-    return reduce(DataFrame.unionByName, parts)
+    """UNION ALL of every partner list in the program.
+
+    Each list carries its own constant partner label, so the per-list dedupes can run
+    on the union: one DISTINCT for every DISTINCT list, and one top-1 window partitioned
+    by (partner, phone) for every ranked list (a list ranked by join date only has a
+    NULL tier rank on every row, which leaves its order unchanged).  Two shuffles
+    instead of one per list; the rows are the same.
+    """
+    shaped = [(spec, _shape(spec, lists, program)) for spec in program.lists]
+    ranked = [df for spec, df in shaped if _ranked(spec)]
+    distinct = [df.select(*BASE_COLUMNS) for spec, df in shaped if not _ranked(spec) and spec.distinct]
+    plain = [df.select(*BASE_COLUMNS) for spec, df in shaped if not _ranked(spec) and not spec.distinct]
+    parts = []
+    if ranked:
+        parts.append(top1_per_phone(reduce(DataFrame.unionByName, ranked), by_tier=True,
+                                    tier_pick=program.tier_pick).select(*BASE_COLUMNS))
+    if distinct:
+        parts.append(reduce(DataFrame.unionByName, distinct).distinct())
+    return reduce(DataFrame.unionByName, parts + plain)

@@ -76,3 +76,13 @@ def test_base_invariants_on_fixture(small_src):
     ranked = [s.partner for s in P.lists if s.tier_rank or s.rank_by_join_dt]
     dup = base.filter(base.partner.isin(ranked)).groupBy("partner", "phone").count().filter("count > 1")
     assert dup.count() == 0
+
+
+def test_grouped_dedupe_equals_per_list_dedupe(small_src):
+    """The base dedupes on the union (2 shuffles); it must equal deduping each list alone."""
+    from functools import reduce
+
+    from pyspark.sql import DataFrame
+
+    per_list = reduce(DataFrame.unionByName, [build_list(s, small_src.lists, P) for s in P.lists])
+    assert rows(historical_base(small_src.lists, P)) == rows(per_list)
