@@ -99,13 +99,13 @@ def build_list(spec: ListSpec, lists: Mapping[str, DataFrame], program: Program)
     """One partner list in the unified 8-column shape, deduplicated per its spec."""
     out = _shape(spec, lists, program)
     if _ranked(spec):
-        out = top1_per_phone(out, by_tier=bool(spec.tier_rank), tier_pick=program.tier_pick)
+        out = best_per_phone(out, by_tier=bool(spec.tier_rank), tier_pick=program.tier_pick)
     elif spec.distinct:
         out = out.select(*BASE_COLUMNS).distinct()
     return out.select(*BASE_COLUMNS)
 
 
-def top1_per_phone(df: DataFrame, by_tier: bool, tier_pick: str = "lowest") -> DataFrame:
+def best_per_phone(df: DataFrame, by_tier: bool, tier_pick: str = "lowest") -> DataFrame:
     """Keep one row per phone: ranked tier first, then the latest join date.
 
     One row per (partner, phone).  NULL order follows the warehouse the lists were
@@ -142,7 +142,7 @@ def historical_base(lists: Mapping[str, DataFrame], program: Program) -> DataFra
     plain = [df.select(*BASE_COLUMNS) for spec, df in shaped if not _ranked(spec) and not spec.distinct]
     parts = []
     if ranked:
-        parts.append(top1_per_phone(reduce(DataFrame.unionByName, ranked), by_tier=True,
+        parts.append(best_per_phone(reduce(DataFrame.unionByName, ranked), by_tier=True,
                                     tier_pick=program.tier_pick).select(*BASE_COLUMNS))
     if distinct:
         parts.append(reduce(DataFrame.unionByName, distinct).distinct())

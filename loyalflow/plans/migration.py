@@ -56,7 +56,7 @@ BASE_PASS_THROUGH = K3_COLUMNS[:10]
 
 
 def member_metrics(src: Sources, program: Program, run: RunContext,
-                   keep_grain: bool = True) -> dict[str, DataFrame]:
+                   write_metrics: bool = True) -> dict[str, DataFrame]:
     """The per-member / per-(partner, member) inputs of the wide table.
 
     Returns belong_by_partner (A4), belong_overall (A5), member totals (A6/A7 in one
@@ -64,11 +64,11 @@ def member_metrics(src: Sources, program: Program, run: RunContext,
 
     The per-member metrics feed five joins that keep different columns, so Spark would
     rebuild them per join (no exchange reuse across differently pruned plans);
-    ``keep_grain`` writes them once to the checkpoint folder (also a lineage cut) and the
+    ``write_metrics`` writes them once to the checkpoint folder (also a lineage cut) and the
     joins read them back.
     """
     single = member_order_single_pass(src.orders, program)
-    if keep_grain:
+    if write_metrics:
         # read by five joins that each keep different columns: write it once
         single = materialize(single, "member_order_metrics")
     member_level = single.filter(F.col("level") == "member")
@@ -140,11 +140,11 @@ def partner_profile(m: dict[str, DataFrame], program: Program) -> DataFrame:
 
 
 def migration_performance(src: Sources, program: Program, base: DataFrame,
-                          run: RunContext | None = None, keep_grain: bool = True) -> DataFrame:
+                          run: RunContext | None = None, write_metrics: bool = True) -> DataFrame:
     """B24 + B25: the 38-column wide table (K3 column order)."""
     run = run or RunContext()
     strict = program.strict_id_cast
-    m = member_metrics(src, program, run, keep_grain)
+    m = member_metrics(src, program, run, write_metrics)
     pp = partner_profile(m, program)
 
     mbr = src.member_detail.select(

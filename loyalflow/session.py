@@ -71,12 +71,6 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 _SCRATCH: str | None = None
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder (survives lost executors)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as parquet into a fresh folder under the checkpoint folder; read it back.
 

@@ -36,7 +36,7 @@ def test_spread_join_several_right_sides(spark):
 def _jobs(spark, src):
     k1 = cutoff_group(src, P)
     k2 = historical_base_flags(src, P, k1)
-    k3 = migration_performance(src, P, k2, RunContext(), keep_grain=False)
+    k3 = migration_performance(src, P, k2, RunContext(), write_metrics=False)
     return k1, k2, k3
 
 
