@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loyalflow.config import FIXTURE_PROGRAM, Program, RunContext
+from loyalflow.config import FIXTURE_PROGRAM, RunContext
 from loyalflow.functions import flag, int_id, pad_id, rollup_partner
 from loyalflow.operators import identity, lists, membership, orders, wecom
 from loyalflow.plans.cutoff_group import cutoff_group
