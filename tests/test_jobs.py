@@ -84,3 +84,30 @@ def test_sinks_round_trip(spark, small_src):
     assert back.columns == K3_COLUMNS
     assert back.count() == k3.count()
     assert spark.read.parquet(f"{folder}/k1").count() == k1.count()
+
+
+def test_distributor_filter_limits_the_cutoff_order_branch(spark, small_src):
+    from dataclasses import replace
+
+    only = replace(P, distributors=("CHN D (D1)",))
+    full = cutoff_belong(small_src.member_detail, small_src.orders, P)
+    cut = cutoff_belong(small_src.member_detail, small_src.orders, only)
+    assert 0 < cut.count() < full.count()
+    # the registration branch is untouched by the filter
+    assert cut.subtract(full).count() == 0
+
+
+def test_non_numeric_member_id_fails_strict_and_is_unmatched_with_try(spark, small_src):
+    import pytest
+    from dataclasses import replace
+
+    from loyalflow.sources import Sources
+
+    bad = small_src.not_belong_total.union(spark.createDataFrame([("x1",)], "member_detail_id string"))
+    src = Sources(**{**small_src.__dict__, "not_belong_total": bad})
+    k1 = cutoff_group(src, P)
+    with pytest.raises(Exception):
+        historical_base_flags(src, P, k1).count()
+    loose = replace(P, strict_id_cast=False)
+    assert historical_base_flags(src, loose, cutoff_group(src, loose)).count() == \
+        historical_base_flags(small_src, P, k1).count()
