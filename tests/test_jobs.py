@@ -111,3 +111,13 @@ def test_non_numeric_member_id_fails_strict_and_is_unmatched_with_try(spark, sma
     loose = replace(P, strict_id_cast=False)
     assert historical_base_flags(src, loose, cutoff_group(src, loose)).count() == \
         historical_base_flags(small_src, P, k1).count()
+
+
+def test_spread_join_two_keys_with_partial_nulls(spark):
+    left = spark.createDataFrame([(1, "a", "x"), (1, None, "y"), (None, "a", "z"), (2, "b", "w")],
+                                 "k int, p string, s string")
+    right = spark.createDataFrame([(1, "a", 10), (1, None, 11), (None, "a", 12), (2, "b", 13), (2, "b", 14)],
+                                  "k int, p string, v int")
+    got = rows(left_join_spread_nulls(left, right, ["k", "p"], ["s"]), "k", "p", "s", "v")
+    want = rows(left.join(right, ["k", "p"], "left"), "k", "p", "s", "v")
+    assert got == want
