@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loyalflow.llm import exact_dedup, language_id, license_scan, toxicity
+from loyalflow.llm import (
+    bpe,
+    exact_dedup,
+    hashed_neighbours,
+    jaccard_join,
+    language_id,
+    license_scan,
+    lm_scoring,
+    source_mixing,
+    toxicity,
+    warc,
+)
 from loyalflow.llm.shared import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +31,6 @@ def _shipped(query: Query) -> Query:
     return run
 
 
-_MODULES = [license_scan, language_id, toxicity, exact_dedup]
+_MODULES = [license_scan, jaccard_join, lm_scoring, language_id, source_mixing, toxicity, hashed_neighbours, warc, bpe, exact_dedup]
 QUERIES = {name: _shipped(f) for m in _MODULES for name, f in m.QUERIES.items()}
 ORACLE_SQL = {name: sql for m in _MODULES for name, sql in m.ORACLE_SQL.items()}
