@@ -17,11 +17,13 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from loyalflow.llm.shared import written
 from loyalflow.llm.words import buffers, mix, slices
 
-#: Fit: documents of each language, in the order of a hash; the least share of a language's n-grams that one needs, so
+#: Fit: documents of each language, about so many by a hash (and all of a smaller one); the least share of a language's n-grams that one needs, so
 #: that a language has 1 / LEAST n-grams at most; and the least part of its largest share in any language.
 SAMPLE, LEAST, PART = 4000, 2e-5, 0.25
+BROADCAST_ROWS = 200_000
 GRAM, SLOT_BITS, HASHES = 5, 20, 3
 _LETTER = np.full(256, 32, np.uint8)
 _LETTER[97:123], _LETTER[128:] = np.arange(97, 123), np.arange(128, 256)
@@ -70,10 +72,14 @@ def _slots(grams: np.ndarray) -> list[np.ndarray]:
 
 
 def fit(training: DataFrame, sample: int = SAMPLE) -> Model:
-    """training: doc_id, text, lang. Rows with a null text or lang take no part; at most ``sample`` rows of a language do."""
+    """training: doc_id, text, lang. Rows with a null text or lang take no part; about ``sample`` rows of a language do."""
     rows = training.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang")).where("text is not null and lang is not null")
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    picked = rows.select("lang", "doc_id").withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= sample).select("doc_id").distinct()
+    known = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("all"))
+    part = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) / F.lit(float(1 << 20))
+    picked = rows.select("lang", "doc_id").join(known, "lang").where(part < F.lit(sample) / F.col("all")).select("doc_id").distinct()
+    picked = written(picked, "picked")
+    if picked.count() <= BROADCAST_ROWS:
+        picked = F.broadcast(picked)
     grams = rows.join(picked, "doc_id", "left_semi").select("lang", "text").mapInArrow(_counted, "lang string, gram long, n long")
     grams = grams.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     total = Window.partitionBy("lang")
