@@ -82,21 +82,25 @@ class Codec:
             if k % 2:
                 yield False, part
                 continue
-            start = end = 0
+            start = last = end = 0  # of the words gathered so far: where they and the last of them begin
+
+            def gathered() -> Iterator[tuple[bool, str]]:
+                # alone, white space at an end would be one word, with the white space before it
+                for a, b in ((start, last), (last, end)) if part[last:end].isspace() else ((start, end),):
+                    if a < b:
+                        yield False, part[a:b]
+
             for _, (a, b) in self.whole.pre_tokenizer.pre_tokenize_str(part) if part else ():
                 if b - a > PIECE:
-                    if start < a:
-                        yield False, part[start:a]
+                    yield from gathered()
                     for i, x in enumerate(halves(part[a:b])):
                         yield i > 0, x  # a first piece joins nothing on its left
                     start = b
                 elif b - start > PIECE:
-                    if start < a:
-                        yield False, part[start:a]
+                    yield from gathered()
                     start = a
-                end = b
-            if start < end:
-                yield False, part[start:end]
+                last, end = min(b, max(a, start)), b
+            yield from gathered()
 
     def join(self, left: list[int], right: list[int]) -> list[int]:
         """The encoding of two neighbouring parts of one unsplit text, from theirs."""

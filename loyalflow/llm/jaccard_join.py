@@ -25,7 +25,7 @@ from loyalflow.llm.shared import tasks, written
 from loyalflow.llm.words import mix, shingles, words
 
 SHINGLE, SIMILARITY = 5, 0.8
-TARGET_RECALL, LAMBDA, DEPTH, SMALL = 0.999, 0.7, 3, 256
+TARGET_RECALL, LAMBDA, DEPTH, SMALL = 0.999, 0.7, 3, 1024
 BINS = 64
 _ODD, _ODD2 = np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
 SETS = "doc_id long, cls binary, n int, sketch binary, paths array<struct<p1: bigint, p2s: array<struct<p2: bigint, p3s: array<bigint>>>>>"
@@ -121,9 +121,10 @@ def _leaves(reps: DataFrame) -> DataFrame:
         return rows.join(counts, "bucket")
 
     one = written(sized(reps.select("cls", F.explode("paths.p1").alias("bucket"))), "level1")
-    large = one.where(F.col("members") > SMALL).select("cls", F.col("bucket").alias("above"))
-    two = reps.select("cls", "paths").join(large, "cls").select("cls", "above", F.explode("paths").alias("node")).where("node.p1 = above")
-    two = two.select("cls", F.explode("node.p2s").alias("node")).select("cls", F.col("node.p2").alias("bucket"), F.col("node.p3s").alias("p3s"))
+    large = one.where(F.col("members") > SMALL).groupBy("cls").agg(F.collect_set("bucket").alias("above"))  # a few for each run
+    two = reps.select("cls", "paths").join(large, "cls")
+    two = two.select("cls", F.explode(F.flatten(F.transform(F.filter("paths", lambda p: F.array_contains("above", p["p1"])), lambda p: p["p2s"]))).alias("node"))
+    two = two.select("cls", F.col("node.p2").alias("bucket"), F.col("node.p3s").alias("p3s"))
     two = written(sized(two), "level2")
     three = sized(two.where(F.col("members") > SMALL).select("cls", F.explode("p3s").alias("bucket")))
     small = F.col("members") <= SMALL
