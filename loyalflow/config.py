@@ -133,7 +133,7 @@ FIXTURE_PROGRAM = Program(
         else_upper=True,
     ),
     lists=(
-        ListSpec("list_d", D1, phone="phone", tier="blh_tier",
+        ListSpec("list_d", D1, phone="phone", tier="tier",
                  high_tiers=("T1", "T2", "T3", "T4")),
         ListSpec("list_e", E1, phone="phone_number", tier="historical_vip_tier",
                  join_dt="historical_join_dt", city="city",

@@ -7,11 +7,12 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SPREAD_BUCKETS = 4096
+#: Buckets for each shuffle partition, so that the buckets of NULL keys fall evenly.
+BUCKETS_PER_PARTITION = 16
 
 
 def left_join_spread_nulls(left: DataFrame, rights: DataFrame | list[DataFrame], keys: list[str],
-                           spread: list[str], buckets: int = SPREAD_BUCKETS) -> DataFrame:
+                           spread: list[str], buckets: int | None = None) -> DataFrame:
     """LEFT JOIN ``left`` to each of ``rights`` on equal-named ``keys``.
 
     A shuffled outer join hashes every NULL key to the same partition, and NULL keys are
@@ -24,6 +25,8 @@ def left_join_spread_nulls(left: DataFrame, rights: DataFrame | list[DataFrame],
     Several right sides on the same keys share one ``_nb``, so the left side is shuffled
     once for all of them.
     """
+    if buckets is None:
+        buckets = BUCKETS_PER_PARTITION * int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     if isinstance(rights, DataFrame):
         rights = [rights]
     any_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])

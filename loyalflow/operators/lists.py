@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from loyalflow.config import ListSpec, Program
 from loyalflow.functions import strip_commas, tier_flag, tier_number
+from loyalflow.operators.joins import left_join_spread_nulls
 
 BASE_COLUMNS = [
     "phone",
@@ -32,23 +33,28 @@ def _null() -> "F.Column":
     return F.lit(None).cast("string")
 
 
+def _by_phone(src: DataFrame, side: DataFrame, spec: ListSpec) -> DataFrame:
+    """LEFT JOIN on the stripped phone.  The lists with a side list come out DISTINCT, so equal rows
+    fold first; what is left of the NULL phones is spread over the other columns."""
+    src = src.distinct().withColumn("_phone", strip_commas(spec.phone))
+    spread = [c for c in src.columns if c != "_phone"]
+    return left_join_spread_nulls(src, side, ["_phone"], spread)
+
+
 def _side_tier(src: DataFrame, side: DataFrame, spec: ListSpec) -> DataFrame:
     """Attach the side list's tier by comma-stripped phone (LEFT, may fan out)."""
-    side = side.select(strip_commas("phone").alias("_side_phone"),
-                       F.col(spec.side_tier).alias("_side_tier"))
-    src = src.withColumn("_phone", strip_commas(spec.phone))
-    return src.join(side, src["_phone"] == side["_side_phone"], "left")
+    side = side.select(strip_commas("phone").alias("_phone"), F.col(spec.side_tier).alias("_side_tier"))
+    return _by_phone(src, side, spec)
 
 
 def _side_match(src: DataFrame, side: DataFrame, spec: ListSpec) -> DataFrame:
     """Attach the side list's distributor and a matched marker (LEFT, may fan out)."""
     side = side.filter(F.col(spec.side_distributor).isin(list(spec.side_filter))).select(
-        strip_commas("phone").alias("_side_phone"),
+        strip_commas("phone").alias("_phone"),
         F.col(spec.side_distributor).alias("_side_distributor"),
         F.col("phone").isNotNull().alias("_side_hit"),
     )
-    src = src.withColumn("_phone", strip_commas(spec.phone))
-    return src.join(side, src["_phone"] == side["_side_phone"], "left")
+    return _by_phone(src, side, spec)
 
 
 def _shape(spec: ListSpec, lists: Mapping[str, DataFrame], program: Program) -> DataFrame:

@@ -46,7 +46,7 @@ def wecom_snapshot_union(snapshots: list[DataFrame]) -> DataFrame:
     """
     parts = []
     for snap in snapshots:
-        dist, member, is_member = snap.columns[:3]
+        dist, member, is_member = snap.columns  # exactly three
         parts.append(snap.filter(F.col(is_member) == 1).select(
             F.col(dist).alias("distributor_name"),
             F.col(member).alias("member_id"),

@@ -37,7 +37,8 @@ def historical_base_flags(src: Sources, program: Program, group_two: DataFrame,
         base = historical_base(src.lists, program)
     spread = ["phone", "partner"]
     enc = src.encrypt_phone.select(F.col("phone"), "encrypt_phone")
-    with_enc = left_join_spread_nulls(base, enc, ["phone"], spread=["partner", "historical_vip_tier"])
+    base = base.distinct()  # as the result is; folds the rows without a phone that are alike
+    with_enc = left_join_spread_nulls(base, enc, ["phone"], spread=[c for c in base.columns if c != "phone"])
 
     by_partner = group_two.select(
         int_id("member_detail_id", strict).alias("_mid"),

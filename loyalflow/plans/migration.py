@@ -18,7 +18,7 @@ into one partition.  Every join is LEFT, so every base row survives.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loyalflow.config import Program, RunContext
@@ -32,7 +32,6 @@ from loyalflow.operators.orders import (
     member_order_single_pass,
 )
 from loyalflow.operators.wecom import wecom_pairs
-from loyalflow.session import materialize
 from loyalflow.sources import Sources
 
 K3_COLUMNS = [
@@ -56,21 +55,18 @@ BASE_PASS_THROUGH = K3_COLUMNS[:10]
 
 
 def member_metrics(src: Sources, program: Program, run: RunContext,
-                   write_metrics: bool = True) -> dict[str, DataFrame]:
+                   metrics: DataFrame | None = None) -> dict[str, DataFrame]:
     """The per-member / per-(partner, member) inputs of the wide table.
 
     Returns belong_by_partner (A4), belong_overall (A5), member totals (A6/A7 in one
     frame), partner totals (A8/A9 in one frame), last_purchase (B19), wecom (B21).
 
     The per-member metrics feed five joins that keep different columns, so Spark would
-    rebuild them per join (no exchange reuse across differently pruned plans);
-    ``write_metrics`` writes them once to the checkpoint folder (also a lineage cut) and the
-    joins read them back.
+    rebuild them per join (no exchange reuse across differently pruned plans).
+    ``plans.pipeline.run_pipeline`` writes ``member_order_single_pass`` to a named table first and
+    passes it as ``metrics``; without it they are part of the plan.
     """
-    single = member_order_single_pass(src.orders, program)
-    if write_metrics:
-        # read by five joins that each keep different columns: write it once
-        single = materialize(single, "member_order_metrics")
+    single = member_order_single_pass(src.orders, program) if metrics is None else metrics
     member_level = single.filter(F.col("level") == "member")
     partner_level = single.filter(F.col("level") == "partner")
 
@@ -139,37 +135,32 @@ def partner_profile(m: dict[str, DataFrame], program: Program) -> DataFrame:
     return pp.withColumn("_mbp", F.lit(True))
 
 
-def migration_performance(src: Sources, program: Program, base: DataFrame,
-                          run: RunContext | None = None, write_metrics: bool = True) -> DataFrame:
-    """B24 + B25: the 38-column wide table (K3 column order)."""
-    run = run or RunContext()
-    strict = program.strict_id_cast
-    m = member_metrics(src, program, run, write_metrics)
-    pp = partner_profile(m, program)
+def resolved_profile(src: Sources, program: Program, base: DataFrame, overall: DataFrame,
+                     by_partner: DataFrame) -> DataFrame:
+    """Base rows with their members (LEFT, fans out), the member dimension, and overall / partner membership.
 
+    ``base``: phone, partner, encrypt_phone and more; ``by_partner``: keyed by (_mid, partner), with ``_mbp``.
+    """
+    strict = program.strict_id_cast
     mbr = src.member_detail.select(
         int_id("member_detail_id", strict).alias("_mid"),
         F.col("member_detail_id").alias("_mbr_id"),
         "join_time", "eff_reg_channel", "eff_reg_store",
         F.col("store_name").alias("_mbr_store_name"), "tier_code", "point")
-    overall = m["belong_overall"].select(
+    overall = overall.select(
         int_id("member_detail_id", strict).alias("_mid"), "belong_to_chn_dt").withColumn("_mb", F.lit(True))
-
-    base = base.select(*BASE_PASS_THROUGH, "encrypt_phone")
     spread = ["phone", "partner"]
     members = phone_members(src.crm_member_phone)
     wide = left_join_spread_nulls(base, members, ["encrypt_phone"], spread) \
         .withColumn("_mid", int_id("phone_member_id", strict))
     wide = left_join_spread_nulls(wide, [mbr, overall], ["_mid"], spread)
-    wide = left_join_spread_nulls(wide, pp, ["_mid", "partner"], spread)
+    return left_join_spread_nulls(wide, by_partner, ["_mid", "partner"], spread)
 
-    joined = F.col("_mbr_id").isNotNull()
-    in_base = F.col("_mb").isNotNull()
-    in_partner = F.col("_mbp").isNotNull()
-    # a TIMESTAMP_NTZ literal: the stamp does not move with the session time zone
-    run_ts = F.expr(f"TIMESTAMP_NTZ '{run.run_ts.isoformat(sep=' ')}'")
-    return wide.select(
-        *BASE_PASS_THROUGH,
+
+def profile_columns(program: Program) -> list[Column]:
+    """Join and membership flags and dates of a row of ``resolved_profile``."""
+    joined, in_base, in_partner = (F.col(c).isNotNull() for c in ("_mbr_id", "_mb", "_mbp"))
+    return [
         flag(F.to_date("join_time") <= F.lit(program.cutoff_last_day)).alias("if_joined_brand_by_cutoff"),
         flag(joined).alias("if_joined_brand"),
         F.when(joined, pad_id("_mbr_id", program.member_id_width)).alias("member_detail_id"),
@@ -178,6 +169,23 @@ def migration_performance(src: Sources, program: Program, base: DataFrame,
         F.when(in_base, F.to_date("join_time")).alias("join_dt"),
         F.when(in_base, F.col("belong_to_chn_dt")).alias("belong_to_chn_dt"),
         F.when(in_partner, F.col("belong_by_partner_dt")).alias("belong_to_partner_dt"),
+    ]
+
+
+def migration_performance(src: Sources, program: Program, base: DataFrame,
+                          run: RunContext | None = None, metrics: DataFrame | None = None) -> DataFrame:
+    """B24 + B25: the 38-column wide table (K3 column order)."""
+    run = run or RunContext()
+    m = member_metrics(src, program, run, metrics)
+    pp = partner_profile(m, program)
+
+    wide = resolved_profile(src, program, base.select(*BASE_PASS_THROUGH, "encrypt_phone"), m["belong_overall"], pp)
+    in_partner = F.col("_mbp").isNotNull()
+    # a TIMESTAMP_NTZ literal: the stamp does not move with the session time zone
+    run_ts = F.expr(f"TIMESTAMP_NTZ '{run.run_ts.isoformat(sep=' ')}'")
+    return wide.select(
+        *BASE_PASS_THROUGH,
+        *profile_columns(program),
         F.when(in_partner, F.col("eff_reg_channel")).alias("eff_reg_channel"),
         F.when(in_partner, F.col("eff_reg_store")).alias("eff_reg_store"),
         F.when(in_partner, F.col("_mbr_store_name")).alias("eff_reg_store_name"),

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from loyalflow.config import FIXTURE_PROGRAM, RunContext
 from loyalflow.functions import flag, int_id, pad_id, rollup_partner
 from loyalflow.operators import identity, lists, membership, orders, wecom
+from loyalflow.plans import migration
 from loyalflow.plans.cutoff_group import cutoff_group
 from loyalflow.plans.historical_base import historical_base_flags
 from loyalflow.plans.migration import K3_COLUMNS, migration_performance
@@ -173,27 +174,10 @@ def member_profile_flags(spark, root):
     src = _src(spark, root)
     base = _k2(src).select("phone", "partner", "encrypt_phone")
     mbp = membership.belong_by_partner(src.member_detail, src.orders, P, RUN.run_date)
-    overall = membership.belong_overall(mbp).select(
-        int_id("member_detail_id").alias("_mid"), "belong_to_chn_dt").withColumn("_mb", F.lit(True))
-    mbp = mbp.select(int_id("member_detail_id").alias("_mid"), "partner", "belong_by_partner_dt") \
+    by_partner = mbp.select(int_id("member_detail_id").alias("_mid"), "partner", "belong_by_partner_dt") \
         .withColumn("_mbp", F.lit(True))
-    mbr = src.member_detail.select(int_id("member_detail_id").alias("_mid"),
-                                   F.col("member_detail_id").alias("_mbr_id"), "join_time")
-    members = identity.phone_members(src.crm_member_phone)
-    wide = (base.join(members, "encrypt_phone", "left")
-            .withColumn("_mid", int_id("phone_member_id"))
-            .join(mbr, ["_mid"], "left").join(overall, ["_mid"], "left").join(mbp, ["_mid", "partner"], "left"))
-    joined = F.col("_mbr_id").isNotNull()
-    return wide.select(
-        "phone", "partner",
-        flag(F.to_date("join_time") <= F.lit(P.cutoff_last_day)).alias("if_joined_brand_by_cutoff"),
-        flag(joined).alias("if_joined_brand"),
-        F.when(joined, pad_id("_mbr_id", P.member_id_width)).alias("member_detail_id"),
-        flag(F.col("_mb").isNotNull()).alias("if_chn_member_base"),
-        flag(F.col("_mbp").isNotNull()).alias("if_partner_member_base"),
-        F.when(F.col("_mb").isNotNull(), F.col("belong_to_chn_dt")).alias("belong_to_chn_dt"),
-        F.when(F.col("_mbp").isNotNull(), F.col("belong_by_partner_dt")).alias("belong_to_partner_dt"),
-    )
+    wide = migration.resolved_profile(src, P, base, membership.belong_overall(mbp), by_partner)
+    return wide.select("phone", "partner", *migration.profile_columns(P)).drop("join_dt")
 
 
 def migration_performance_q(spark, root):

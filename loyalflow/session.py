@@ -1,12 +1,8 @@
-"""Spark session settings the jobs are tuned for, and the shared checkpoint folder."""
+"""Spark session settings the jobs are tuned for."""
 
 from __future__ import annotations
 
-import os
-import tempfile
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 # AQE re-plans at every exchange: coalesces small shuffle partitions, turns a join
 # into a broadcast when a side is measured small at run time, and splits skewed join
@@ -25,11 +21,12 @@ SESSION_CONF = {
 }
 
 
-def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: str = "loyalflow",
+def build_session(master: str = "local[8]", shuffle_partitions: int | None = None, app: str = "loyalflow",
                   extra: dict[str, str] | None = None) -> SparkSession:
     builder = SparkSession.builder.master(master).appName(app)
     conf = dict(SESSION_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if shuffle_partitions is not None:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.setdefault("spark.driver.memory", "8g")
     if extra:
         conf.update(extra)
@@ -37,49 +34,4 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
-
-
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The checkpoint folder named by ``spark.checkpoint.dir``.
-
-    On a cluster that setting names a shared folder and is used as given.  Only when it
-    is unset (local tests) a fresh scratch folder is made for this run.
-    """
-    try:
-        sc = spark.sparkContext
-    except Exception:  # Spark Connect: no SparkContext on the client
-        sc = None
-    current = sc.getCheckpointDir() if sc is not None else None
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        if sc is not None:
-            sc.setCheckpointDir(configured)
-        return configured
-    global _SCRATCH
-    if _SCRATCH is None:
-        _SCRATCH = tempfile.mkdtemp(prefix="loyalflow-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    if sc is not None:
-        sc.setCheckpointDir(_SCRATCH)
-        return sc.getCheckpointDir() or _SCRATCH
-    return _SCRATCH
-
-
-_SCRATCH: str | None = None
-
-
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as parquet into a fresh folder under the checkpoint folder; read it back.
-
-    The hand-over between jobs (the warehouse writes a table, the next job reads it):
-    lineage stops here, a lost executor re-runs only unfinished write tasks, and the
-    reader gets a plain parquet scan with column pruning and filter pushdown.
-    """
-    spark = df.sparkSession
-    base = ensure_checkpoint_dir(spark)
-    path = f"{base.rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
-    df.write.mode("errorifexists").parquet(path)
-    return spark.read.parquet(path)

@@ -2,7 +2,7 @@
 
 ``Sources`` bundles one DataFrame per input the jobs read (SURVEY S1-S27).  In production
 each field is ``spark.table(...)`` / ``spark.read.parquet(...)`` of the real table;
-``fixtures.load_fixture_sources`` derives every input from the driver's test tables.
+``fixtures.fixture_sources`` derives every input from the driver's test tables.
 """
 
 from loyalflow.sources.tables import Sources, read_table

@@ -7,8 +7,6 @@ The numeric rules (``k % 29`` ...) only decide which rows exercise which edge ca
 
 from __future__ import annotations
 
-import os
-import uuid
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -129,7 +127,7 @@ def _list_tables(hl: DataFrame) -> dict[str, DataFrame]:
 
     high = F.col("tier").isin("T3", "T4", "T5")
     return {
-        "list_d": rows("list_d").select("phone", F.col("tier").alias("blh_tier")),
+        "list_d": rows("list_d").select("phone", "tier"),
         "list_e": rows("list_e").select(
             F.col("phone").alias("phone_number"), F.col("join_dt").alias("historical_join_dt"),
             F.col("tier").alias("historical_vip_tier"), "city"),
@@ -254,7 +252,8 @@ def wecom_snapshots(wecom_pairs: DataFrame) -> list[DataFrame]:
     return [part1, part2, part3]
 
 
-def load_fixture_sources(spark: SparkSession, root: str, program: Program = FIXTURE_PROGRAM) -> Sources:
+def fixture_sources(spark: SparkSession, root: str, program: Program = FIXTURE_PROGRAM) -> Sources:
+    """The jobs' inputs as lazy expressions over the given tables: nothing is written or kept between calls."""
     customer = read_table(spark, root, "customer")
     supplier = read_table(spark, root, "supplier")
     events = read_table(spark, root, "events")
@@ -280,82 +279,3 @@ def load_fixture_sources(spark: SparkSession, root: str, program: Program = FIXT
 
     src.wecom_snapshots = wecom_snapshots(wecom_pairs(src, program))
     return src
-
-
-# Fixture inputs are derived once and written as parquet under the checkpoint folder;
-# the jobs then read input tables, as in production, with pushdown and pruning at their
-# scans.  Under a configured ``spark.checkpoint.dir`` the written inputs are reused by
-# later applications: they are keyed by the tables folder and a hash of this module's
-# code, and a small marker table written last says the set is complete.
-_MATERIALIZED: dict[tuple[str, str], Sources] = {}
-_TABLES = ["order_detail", "member_detail", "encrypt_phone", "crm_member_phone", "member_phone", "list_info",
-           "store", "staff", "relation", "bind", "not_belong_total"]
-_SNAPSHOTS = 3
-
-
-def _fixture_key(root: str) -> str:
-    import hashlib
-    import inspect
-    import sys
-
-    code = inspect.getsource(sys.modules[__name__])
-    return hashlib.sha1((os.path.abspath(root) + "\n" + code).encode()).hexdigest()[:16]
-
-
-def _read_set(spark: SparkSession, folder: str, list_keys: list[str]) -> Sources:
-    def t(name: str) -> DataFrame:
-        return spark.read.parquet(f"{folder}/{name}")
-
-    return Sources(
-        orders=t("order_detail"), member_detail=t("member_detail"),
-        lists={k: t(k) for k in list_keys},
-        encrypt_phone=t("encrypt_phone"), crm_member_phone=t("crm_member_phone"),
-        member_phone=t("member_phone"), list_info=t("list_info"), store=t("store"), staff=t("staff"),
-        relation=t("relation"), bind=t("bind"), not_belong_total=t("not_belong_total"),
-        wecom_snapshots=[t(f"wecom_snapshot_{i}") for i in range(_SNAPSHOTS)],
-    )
-
-
-def fixture_sources(spark: SparkSession, root: str, program: Program = FIXTURE_PROGRAM) -> Sources:
-    from pyspark.errors import AnalysisException
-
-    from loyalflow.session import ensure_checkpoint_dir
-
-    key = (spark.conf.get("spark.app.id", "app"), os.path.abspath(root))
-    if key in _MATERIALIZED:
-        return _MATERIALIZED[key]
-    shared = spark.conf.get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(spark)
-    base = f"{shared.rstrip('/')}/loyalflow-inputs-{_fixture_key(root)}"
-    list_keys = sorted(LIST_TABLES)
-    try:
-        folder = spark.read.parquet(f"{base}/_complete").first()["folder"]
-        src = _read_set(spark, folder, list_keys)
-    except (AnalysisException, TypeError):
-        lazy = load_fixture_sources(spark, root, program)
-        folder = f"{base}/{uuid.uuid4().hex}"
-        tables = {
-            "order_detail": lazy.orders, "member_detail": lazy.member_detail,
-            "encrypt_phone": lazy.encrypt_phone, "crm_member_phone": lazy.crm_member_phone,
-            "member_phone": lazy.member_phone, "list_info": lazy.list_info, "store": lazy.store,
-            "staff": lazy.staff, "relation": lazy.relation, "bind": lazy.bind,
-            "not_belong_total": lazy.not_belong_total,
-        }
-        tables.update(lazy.lists)
-        for name, df in tables.items():
-            df.write.mode("errorifexists").parquet(f"{folder}/{name}")
-        # the wecom snapshots derive from the written relation / staff / bind tables
-        base_src = Sources(
-            orders=spark.read.parquet(f"{folder}/order_detail"), member_detail=lazy.member_detail,
-            lists=lazy.lists, encrypt_phone=lazy.encrypt_phone, crm_member_phone=lazy.crm_member_phone,
-            member_phone=lazy.member_phone, list_info=lazy.list_info, store=lazy.store,
-            staff=spark.read.parquet(f"{folder}/staff"), relation=spark.read.parquet(f"{folder}/relation"),
-            bind=spark.read.parquet(f"{folder}/bind"), not_belong_total=lazy.not_belong_total,
-        )
-        from loyalflow.operators.wecom import wecom_pairs
-
-        for i, snap in enumerate(wecom_snapshots(wecom_pairs(base_src, program))):
-            snap.write.mode("errorifexists").parquet(f"{folder}/wecom_snapshot_{i}")
-        spark.createDataFrame([(folder,)], "folder string").write.mode("overwrite").parquet(f"{base}/_complete")
-        src = _read_set(spark, folder, list_keys)
-    _MATERIALIZED[key] = src
-    return src

@@ -36,7 +36,7 @@ def test_spread_join_several_right_sides(spark):
 def _jobs(spark, src):
     k1 = cutoff_group(src, P)
     k2 = historical_base_flags(src, P, k1)
-    k3 = migration_performance(src, P, k2, RunContext(), write_metrics=False)
+    k3 = migration_performance(src, P, k2, RunContext())
     return k1, k2, k3
 
 
@@ -86,6 +86,66 @@ def test_sinks_round_trip(spark, small_src):
     assert spark.read.parquet(f"{folder}/k1").count() == k1.count()
 
 
+def test_three_jobs_through_tables(spark, small_src):
+    """K3's table exists: its columns stay, and a second run replaces the first."""
+    from datetime import datetime
+
+    from loyalflow.plans.pipeline import Targets, run_pipeline
+
+    _, _, k3 = _jobs(spark, small_src)
+    for t in ("t_k1", "t_k2", "t_metrics", "t_k3"):
+        spark.sql(f"DROP TABLE IF EXISTS {t}")
+    k3.limit(0).write.format("parquet").saveAsTable("t_k3")
+    schema = spark.table("t_k3").schema
+    to = Targets("t_k1", "t_k2", "t_metrics", "t_k3")
+    for when in (datetime(2024, 3, 4, 1), datetime(2024, 3, 5, 1)):
+        spark.catalog.refreshTable("t_k3")
+        out = run_pipeline(spark, small_src, P, RunContext(run_ts=when), to)
+        assert out.schema == schema and rows(out.select("dl_batch_date").distinct()) == [(when.strftime("%Y%m%d"),)]
+        same = [c for c in K3_COLUMNS if not c.startswith("dl_")]
+        want = migration_performance(small_src, P, spark.table("t_k2"), RunContext(run_ts=when))
+        assert out.select(same).exceptAll(want.select(same)).count() == 0 and out.count() == want.count() > 0
+    assert not spark.catalog.tableExists("t_metrics")
+    for t in ("t_k1", "t_k2", "t_k3"):
+        spark.sql(f"DROP TABLE {t}")
+
+
+def test_queries_read_the_tables_as_they_are(spark):
+    import glob
+    import os
+    import shutil
+
+    from loyalflow.plans.queries import QUERIES
+
+    folder = tempfile.mkdtemp(prefix="loyalflow-tables-")
+    for f in glob.glob("/root/testdata/sf0.001/*.parquet"):
+        shutil.copy(f, folder)
+    before = QUERIES["padded_member_id"](spark, folder).count()
+    half = spark.read.parquet("/root/testdata/sf0.001/customer.parquet").where("c_custkey % 2 = 0").toPandas()
+    os.chmod(f"{folder}/customer.parquet", 0o644)
+    half.to_parquet(f"{folder}/customer.parquet")
+    spark.catalog.clearCache()
+    assert QUERIES["padded_member_id"](spark, folder).count() < before
+
+
+def test_rows_without_a_phone_are_spread(spark):
+    """Most phones NULL in a side-list join: same rows as the plain join, and no partition with the bulk."""
+    from loyalflow.operators.joins import left_join_spread_nulls
+
+    left = spark.range(0, 20_000).selectExpr("if(id % 10 = 0, cast(id as string), null) k", "id % 997 a", "id % 13 b")
+    right = spark.range(0, 20_000, 30).selectExpr("cast(id as string) k", "id v")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    spark.conf.set("spark.sql.adaptive.enabled", False)
+    try:
+        got = left_join_spread_nulls(left, right, ["k"], ["a", "b"])
+        assert rows(got.select("k", "a", "b", "v")) == rows(left.join(right, "k", "left").select("k", "a", "b", "v"))
+        sizes = [r["n"] for r in got.selectExpr("spark_partition_id() p").groupBy("p").agg(F.count("*").alias("n")).collect()]
+        assert max(sizes) < 2 * sum(sizes) / 8
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "32m")
+        spark.conf.set("spark.sql.adaptive.enabled", True)
+
+
 def test_distributor_filter_limits_the_cutoff_order_branch(spark, small_src):
     from dataclasses import replace
 
