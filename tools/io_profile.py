@@ -61,23 +61,16 @@ def main(sf_dir: str) -> None:
     from loyalflow.plans.migration import migration_performance
     from loyalflow.session import build_session
     from loyalflow.sources.fixtures import fixture_sources
-    from oracle.sql import straight_spark_sql
 
     log_dir = tempfile.mkdtemp(prefix="run-evlog-")
     spark = build_session("local[8]", 8, extra={"spark.eventLog.enabled": "true", "spark.eventLog.dir": log_dir,
                                                  "spark.eventLog.compress": "false"})
     src = fixture_sources(spark, sf_dir)
-    bench.register_inputs(spark, src)
     sc = spark.sparkContext
-    sc.setJobGroup("as_written", "straight SQL")
-    spark.sql(straight_spark_sql()).write.format("noop").mode("overwrite").save()
-    sc.setJobGroup("ours", "loyalflow")
-    k1 = cutoff_group(src, P)
-    k2 = historical_base_flags(src, P, k1)
-    migration_performance(src, P, k2, RunContext()).write.format("noop").mode("overwrite").save()
-    sc.setJobGroup("order_fact_as_written", "fact-only part, as written")
-    spark.sql(straight_spark_sql().replace("SELECT * FROM k3", "SELECT * FROM last_purchase")).write.format(
-        "noop").mode("overwrite").save()
+    for group, metrics in (("plain_operators", bench.plain_metrics(src, P)), ("ours", None)):
+        sc.setJobGroup(group, "K1, K2 and K3 as one plan")
+        base = historical_base_flags(src, P, cutoff_group(src, P))
+        migration_performance(src, P, base, RunContext(), metrics).write.format("noop").mode("overwrite").save()
     spark.stop()
     print(json.dumps(totals(log_dir), indent=1))
 
