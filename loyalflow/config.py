@@ -8,6 +8,7 @@ builds its own ``Program`` (real channel labels, real tier words) and passes it
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Mapping
 from dataclasses import dataclass, field
 
 
@@ -77,6 +78,8 @@ class Program:
     # strict: cast member ids with ANSI cast (bad ids fail the job); else try_cast
     strict_id_cast: bool = True
     distributors: tuple[str, ...] | None = None     # optional filter on the cutoff order branch
+    # published column names, by table ("group_two", "base", "performance") and column; others keep theirs
+    names: Mapping[str, Mapping[str, str]] = field(default_factory=dict)
 
     @property
     def cutoff_last_day(self) -> dt.date:

@@ -12,26 +12,17 @@ def _quote(v: str) -> str:
     return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def rollup_partner(c: str | Column, rules: Rollup) -> Column:
+def rollup_partner(column: str, rules: Rollup) -> Column:
     """Apply one roll-up rule set to a channel column.
 
     A CASE over literal IN-lists stays inside whole-stage codegen; the rule sets are a
-    handful of labels, so there is nothing to gain from a lookup join.  For a column
-    name the CASE is handed over as one expression (one driver round trip).
+    handful of labels, so there is nothing to gain from a lookup join.  It is handed
+    over as one expression (one driver round trip).
     """
-    if isinstance(c, str):
-        col = f"`{c}`"
-        probe = f"upper({col})" if rules.fold_case else col
-        fallback = f"upper({col})" if rules.else_upper else col
-        whens = " ".join(
-            f"WHEN {probe} IN ({', '.join(_quote(m) for m in members)}) THEN {_quote(label)}"
-            for members, label in rules.groups)
-        return F.expr(f"CASE {whens} ELSE {fallback} END" if whens else fallback)
-    raw = c
-    probe = F.upper(raw) if rules.fold_case else raw
-    fallback = F.upper(raw) if rules.else_upper else raw
-    expr = None
-    for members, label in rules.groups:
-        cond = probe.isin(list(members))
-        expr = F.when(cond, F.lit(label)) if expr is None else expr.when(cond, F.lit(label))
-    return fallback if expr is None else expr.otherwise(fallback)
+    col = f"`{column}`"
+    probe = f"upper({col})" if rules.fold_case else col
+    fallback = f"upper({col})" if rules.else_upper else col
+    whens = " ".join(
+        f"WHEN {probe} IN ({', '.join(_quote(m) for m in members)}) THEN {_quote(label)}"
+        for members, label in rules.groups)
+    return F.expr(f"CASE {whens} ELSE {fallback} END" if whens else fallback)

@@ -72,53 +72,6 @@ def net_sales_by_partner(orders: DataFrame, program: Program) -> DataFrame:
             .agg(net_sales(program).alias("mbr_sales")))
 
 
-def order_grain(orders: DataFrame, program: Program) -> DataFrame:
-    """The RRP lines reduced to one row per (partner, member, order).
-
-    Everything the daily job needs per member comes from this table: order counts
-    (an order counts when it has an effective line), net sales, the purchase branch of
-    the belong date, and the paid time that ranks the last order.  The reduction runs
-    map-side before the shuffle, and the shuffle key includes the order id, so a member
-    with a huge share of the lines is still spread over many tasks.
-    """
-    eff = eff_line()
-    belong = (eff & (F.col("is_member") == program.member_yes)
-              & F.col("distributor_name").contains(program.channel_pattern))
-    lines = rrp_lines(orders).select(
-        partner_col(program).alias("partner"),
-        "crm_member_id",
-        "original_order_id",
-        eff.alias("_eff"),
-        sales_in(program).alias("_in"),
-        sales_out(program).alias("_out"),
-        belong.alias("_belong"),
-        F.when(belong, F.to_date("date_id")).alias("_belong_dt"),
-        (eff & F.col("order_paid_time").isNull()).alias("_paid_null"),
-        F.when(eff, F.col("order_paid_time")).alias("_paid"),
-    )
-    return lines.groupBy("partner", "crm_member_id", "original_order_id").agg(
-        F.bool_or("_eff").alias("has_eff"),
-        F.sum("_in").alias("s_in"),
-        F.sum("_out").alias("s_out"),
-        F.bool_or("_belong").alias("has_belong"),
-        F.min("_belong_dt").alias("belong_dt"),
-        F.bool_or("_paid_null").alias("paid_null"),
-        F.max("_paid").alias("paid_max"),
-    )
-
-
-def _rollup_metrics(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Order-grain rows -> presence flags, distinct effective orders, net sales, belong date."""
-    counted = F.col("has_eff") & F.col("original_order_id").isNotNull()
-    return df.groupBy(*keys).agg(
-        F.bool_or("has_eff").alias("has_eff"),
-        F.count_if(counted).alias("_orders"),
-        (F.sum("s_in") - F.sum("s_out")).cast(SALES_TYPE).alias("mbr_sales"),
-        F.bool_or("has_belong").alias("has_belong"),
-        F.min("belong_dt").alias("belong_dt"),
-    )
-
-
 def _metric_lines(orders: DataFrame, program: Program) -> DataFrame:
     eff = eff_line()
     belong = (eff & (F.col("is_member") == program.member_yes)
@@ -148,30 +101,18 @@ def _level_metrics(lines: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def member_order_single_pass(orders: DataFrame, program: Program, grain: DataFrame | None = None) -> DataFrame:
+def member_order_single_pass(orders: DataFrame, program: Program) -> DataFrame:
     """A4 (purchase branch), A6, A7, A8, A9: one aggregate per level instead of four.
 
     ``level`` = 'partner' rows are per (partner, member), 'member' rows per member over
     all partners.  Distinct order counts are not additive across partners (one order can
     carry several partners), so each level counts its own.  Order counts exist only where
     an effective line exists: ``has_eff`` carries that presence and ``order_count`` is
-    NULL without it, as in the separate grouped queries.  With an order-grain table the
-    levels are rolled up from it instead of from the lines.
+    NULL without it, as in the separate grouped queries.
     """
-    if grain is None:
-        lines = _metric_lines(orders, program)
-        by_partner = _level_metrics(lines, ["partner", "crm_member_id"])
-        by_member = _level_metrics(lines, ["crm_member_id"])
-    else:
-        by_partner = _rollup_metrics(grain, ["partner", "crm_member_id"])
-        per_order = grain.groupBy("crm_member_id", "original_order_id").agg(
-            F.bool_or("has_eff").alias("has_eff"),
-            F.sum("s_in").alias("s_in"),
-            F.sum("s_out").alias("s_out"),
-            F.bool_or("has_belong").alias("has_belong"),
-            F.min("belong_dt").alias("belong_dt"),
-        )
-        by_member = _rollup_metrics(per_order, ["crm_member_id"])
+    lines = _metric_lines(orders, program)
+    by_partner = _level_metrics(lines, ["partner", "crm_member_id"])
+    by_member = _level_metrics(lines, ["crm_member_id"])
     by_partner = by_partner.withColumn("level", F.lit("partner"))
     by_member = by_member.withColumn("level", F.lit("member")).withColumn("partner", F.lit(None).cast("string"))
     return by_partner.unionByName(by_member).select(
@@ -186,28 +127,19 @@ def member_order_single_pass(orders: DataFrame, program: Program, grain: DataFra
     )
 
 
-def last_order_ranked(orders: DataFrame, program: Program, grain: DataFrame | None = None) -> DataFrame:
+def last_order_ranked(orders: DataFrame, program: Program) -> DataFrame:
     """The last effective order per (partner, member).
 
     ORDER BY paid time DESC with NULL as the largest value (a NULL paid time wins);
     the order id breaks ties.  ``row_number() = 1`` plans a map-side partial top-1
-    before the shuffle.  Ranks the order-grain rows when the caller already has them
-    (one row per order instead of per line), else the effective lines directly.
+    before the shuffle.
     """
-    if grain is None:
-        cand = rrp_lines(orders).filter(eff_line() & F.col("crm_member_id").isNotNull()).select(
-            partner_col(program).alias("partner"), "crm_member_id", "original_order_id",
-            F.col("order_paid_time").isNull().alias("paid_null"), F.col("order_paid_time").alias("paid_max"))
-    else:
-        cand = grain.filter(F.col("has_eff") & F.col("crm_member_id").isNotNull())
+    cand = rrp_lines(orders).filter(eff_line() & F.col("crm_member_id").isNotNull()).select(
+        partner_col(program).alias("partner"), "crm_member_id", "original_order_id", "order_paid_time")
     w = Window.partitionBy("partner", "crm_member_id").orderBy(
-        F.col("paid_null").desc(), F.col("paid_max").desc_nulls_first(),
-        F.col("original_order_id").desc_nulls_last())
+        F.col("order_paid_time").desc_nulls_first(), F.col("original_order_id").desc_nulls_last())
     top = cand.withColumn("_rk", F.row_number().over(w)).filter(F.col("_rk") == 1)
-    return top.select(
-        "partner", "crm_member_id", "original_order_id",
-        F.when(~F.col("paid_null"), F.col("paid_max")).alias("order_paid_time"),
-    )
+    return top.select("partner", "crm_member_id", "original_order_id", "order_paid_time")
 
 
 def _listagg(c: Column) -> Column:

@@ -27,6 +27,7 @@ from loyalflow.operators.identity import phone_members
 from loyalflow.operators.joins import left_join_spread_nulls
 from loyalflow.operators.membership import reg_belong_rows
 from loyalflow.operators.orders import (
+    SALES_TYPE,
     last_order_details,
     last_order_ranked,
     member_order_single_pass,
@@ -54,33 +55,36 @@ K3_COLUMNS = [
 BASE_PASS_THROUGH = K3_COLUMNS[:10]
 
 
+def job_metrics(src: Sources, program: Program) -> DataFrame:
+    """The per-member order metrics that this job can match: lines without a member match no one."""
+    return member_order_single_pass(src.orders.filter(F.col("crm_member_id").isNotNull()), program)
+
+
 def member_metrics(src: Sources, program: Program, run: RunContext,
                    metrics: DataFrame | None = None) -> dict[str, DataFrame]:
     """The per-member / per-(partner, member) inputs of the wide table.
 
-    Returns belong_by_partner (A4), belong_overall (A5), member totals (A6/A7 in one
-    frame), partner totals (A8/A9 in one frame), last_purchase (B19), wecom (B21).
+    Returns the registration rows of the belong date, belong_overall (A5), member totals
+    (A6/A7 in one frame), partner facts (A4/A8/A9 in one frame), last_purchase (B19), wecom (B21).
 
-    The per-member metrics feed five joins that keep different columns, so Spark would
-    rebuild them per join (no exchange reuse across differently pruned plans).
-    ``plans.pipeline.run_pipeline`` writes ``member_order_single_pass`` to a named table first and
-    passes it as ``metrics``; without it they are part of the plan.
+    ``plans.pipeline.run_pipeline`` writes ``job_metrics`` to a named table first and passes
+    it as ``metrics``; without it they are part of the plan, read once for each level and
+    once for the overall belong date.
     """
-    single = member_order_single_pass(src.orders, program) if metrics is None else metrics
+    single = job_metrics(src, program) if metrics is None else metrics
     member_level = single.filter(F.col("level") == "member")
-    partner_level = single.filter(F.col("level") == "partner")
+    # NULL partners join to nothing
+    partner_level = single.filter((F.col("level") == "partner") & F.col("partner").isNotNull())
 
-    order_belong = partner_level.filter(F.col("has_belong")).select(
-        "partner", F.col("crm_member_id").alias("member_detail_id"), "belong_dt")
-    belong_rows = reg_belong_rows(src.member_detail, program, run.run_date).unionByName(order_belong)
-    by_partner = belong_rows.groupBy("partner", "member_detail_id").agg(
-        F.min("belong_dt").alias("belong_by_partner_dt"))
-    overall = by_partner.groupBy("member_detail_id").agg(F.min("belong_by_partner_dt").alias("belong_to_chn_dt"))
+    registered = reg_belong_rows(src.member_detail, program, run.run_date)
+    bought = partner_level.filter(F.col("has_belong")).select(F.col("crm_member_id").alias("member_detail_id"), "belong_dt")
+    overall = registered.select("member_detail_id", "belong_dt").unionByName(bought) \
+        .groupBy("member_detail_id").agg(F.min("belong_dt").alias("belong_to_chn_dt"))
 
     last = last_order_details(src.orders, src.store, program, last_order_ranked(src.orders, program))
     wecom = wecom_pairs(src, program, keep_unbound=False)
     return {
-        "belong_by_partner": by_partner,
+        "registered": registered,
         "belong_overall": overall,
         "member_level": member_level,
         "partner_level": partner_level,
@@ -89,26 +93,59 @@ def member_metrics(src: Sources, program: Program, run: RunContext,
     }
 
 
-def partner_profile(m: dict[str, DataFrame], program: Program) -> DataFrame:
-    """Everything hanging off (member, partner) membership, keyed by (int id, partner).
+def _member_facts(m: dict[str, DataFrame], strict: bool) -> DataFrame:
+    """(int id, partner): belong date, order count and net sales, one row per combination of the
+    spellings that each of the three has.
 
-    Joins stay separate per source table, as written: a member id spelled two ways
-    ('01', '1') matches once per spelling in each table.
+    As written these are three tables joined on the int id, so an id spelled two ways
+    ('01', '1') matches once per spelling in each.  Here one aggregate keeps the values of
+    each as a list, as long as the id has spellings, and the lists are exploded one after
+    another: the same rows from one read of the metrics and without the joins.
     """
+    bought = m["partner_level"].select(
+        "partner", F.col("crm_member_id").alias("member_detail_id"), "has_belong", "belong_dt",
+        "order_count", "mbr_sales", F.lit(True).alias("sold"))
+    registered = m["registered"].select(
+        "partner", "member_detail_id", F.lit(True).alias("has_belong"), "belong_dt",
+        F.lit(None).cast("bigint").alias("order_count"), F.lit(None).cast(SALES_TYPE).alias("mbr_sales"),
+        F.lit(False).alias("sold"))
+    spelled = bought.unionByName(registered).groupBy("partner", "member_detail_id").agg(
+        F.bool_or("has_belong").alias("has_belong"),
+        F.min("belong_dt").alias("belong_dt"),  # set on belonging rows only
+        F.max("order_count").alias("order_count"),
+        F.max("mbr_sales").alias("mbr_sales"),
+        F.bool_or("sold").alias("sold"))
+    keyed = spelled.withColumn("_mid", int_id("member_detail_id", strict)).filter(F.col("_mid").isNotNull())
+    facts = keyed.groupBy("_mid", "partner").agg(
+        F.collect_list(F.when(F.col("has_belong"), F.struct("belong_dt"))).alias("belongs"),
+        F.collect_list("order_count").alias("counts"),
+        F.collect_list(F.when(F.col("sold"), F.struct("mbr_sales"))).alias("sales"))
+    return (facts
+            .select("_mid", "partner", F.explode("belongs").alias("b"), "counts", "sales")
+            .select("_mid", "partner", "b", F.explode_outer("counts").alias("ttl_orders_in_partner"), "sales")
+            .select("_mid", "partner", "b", "ttl_orders_in_partner", F.explode_outer("sales").alias("s"))
+            .select("_mid", "partner", F.col("b.belong_dt").alias("belong_by_partner_dt"),
+                    "ttl_orders_in_partner", F.col("s.mbr_sales").alias("ttl_rrp_sales_in_partner")))
+
+
+def _member_totals(m: dict[str, DataFrame], strict: bool) -> DataFrame:
+    """int id: order count and net sales over all partners, by spelling as in ``_member_facts``."""
+    keyed = m["member_level"].withColumn("_mid", int_id("crm_member_id", strict)).filter(F.col("_mid").isNotNull())
+    totals = keyed.groupBy("_mid").agg(
+        F.collect_list("order_count").alias("counts"), F.collect_list(F.struct("mbr_sales")).alias("sales"))
+    return (totals
+            .select("_mid", F.explode_outer("counts").alias("ttl_orders_in_chn"), "sales")
+            .select("_mid", "ttl_orders_in_chn", F.explode("sales").alias("s"))
+            .select("_mid", "ttl_orders_in_chn", F.col("s.mbr_sales").alias("ttl_rrp_sales_in_chn")))
+
+
+def partner_profile(m: dict[str, DataFrame], program: Program) -> DataFrame:
+    """Everything hanging off (member, partner) membership, keyed by (int id, partner)."""
     strict = program.strict_id_cast
 
     def keyed(df: DataFrame, id_col: str) -> DataFrame:
         return df.withColumn("_mid", int_id(id_col, strict)).drop(id_col)
 
-    mbp = m["belong_by_partner"].select(
-        int_id("member_detail_id", strict).alias("_mid"), "partner", "belong_by_partner_dt")
-    pl = m["partner_level"]
-    ml = m["member_level"]
-    orders_p = keyed(pl.filter("has_eff").select("partner", "crm_member_id",
-                                                 F.col("order_count").alias("ttl_orders_in_partner")),
-                     "crm_member_id").withColumn("_op", F.lit(True))
-    sales_p = keyed(pl.select("partner", "crm_member_id",
-                              F.col("mbr_sales").alias("ttl_rrp_sales_in_partner")), "crm_member_id")
     last = keyed(m["last_purchase"].select(
         "partner", "crm_member_id",
         F.col("date_id").alias("last_purchase_in_partner_dt"),
@@ -119,19 +156,10 @@ def partner_profile(m: dict[str, DataFrame], program: Program) -> DataFrame:
         F.col("mbr_sales").alias("last_purchase_in_partner_rrp_sales")), "crm_member_id")
     wecom = keyed(m["wecom"].select("member_detail_id", F.col("partner_customized").alias("partner")),
                   "member_detail_id").withColumn("_wc", F.lit(True))
-    orders_t = keyed(ml.filter("has_eff").select("crm_member_id",
-                                                 F.col("order_count").alias("ttl_orders_in_chn")),
-                     "crm_member_id").withColumn("_ot", F.lit(True))
-    sales_t = keyed(ml.select("crm_member_id", F.col("mbr_sales").alias("ttl_rrp_sales_in_chn")),
-                    "crm_member_id")
-
-    pp = (mbp
-          .join(orders_p, ["_mid", "partner"], "left")
-          .join(sales_p, ["_mid", "partner"], "left")
+    pp = (_member_facts(m, strict)
           .join(last, ["_mid", "partner"], "left")
           .join(wecom, ["_mid", "partner"], "left")
-          .join(orders_t, ["_mid"], "left")
-          .join(sales_t, ["_mid"], "left"))
+          .join(_member_totals(m, strict), ["_mid"], "left"))
     return pp.withColumn("_mbp", F.lit(True))
 
 
@@ -191,10 +219,10 @@ def migration_performance(src: Sources, program: Program, base: DataFrame,
         F.when(in_partner, F.col("_mbr_store_name")).alias("eff_reg_store_name"),
         F.when(in_partner, F.col("tier_code")).alias("tier_code"),
         F.when(in_partner, F.col("point")).alias("point"),
-        flag(F.col("_ot").isNotNull()).alias("ever_purchased_in_chn"),
+        flag(F.col("ttl_orders_in_chn").isNotNull()).alias("ever_purchased_in_chn"),
         "ttl_orders_in_chn",
         "ttl_rrp_sales_in_chn",
-        flag(F.col("_op").isNotNull()).alias("ever_purchased_in_partner"),
+        flag(F.col("ttl_orders_in_partner").isNotNull()).alias("ever_purchased_in_partner"),
         "ttl_orders_in_partner",
         "ttl_rrp_sales_in_partner",
         "last_purchase_in_partner_dt", "last_purchase_in_partner_store_code",

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from loyalflow.config import FIXTURE_PROGRAM as P
@@ -13,7 +14,7 @@ from loyalflow.operators.membership import cutoff_belong
 from loyalflow.plans.cutoff_group import cutoff_group
 from loyalflow.plans.historical_base import K2_COLUMNS, historical_base_flags
 from loyalflow.plans.migration import K3_COLUMNS, migration_performance
-from loyalflow.plans.sinks import reload_table, replace_table
+from loyalflow.plans.sinks import published, reload_table, replace_table
 from tests.conftest import rows
 
 
@@ -110,6 +111,26 @@ def test_three_jobs_through_tables(spark, small_src):
         spark.sql(f"DROP TABLE {t}")
 
 
+def test_published_names(spark, small_src):
+    """A deployment's column names reach all three tables, and the next job still finds its columns."""
+    from dataclasses import replace
+
+    from loyalflow.plans.pipeline import Targets, run_pipeline
+
+    names = {"group_two": {"distributor_name": "partner_group"}, "base": {"partner": "retailer", "encrypt_phone": "phone_key"},
+             "performance": {"ttl_orders_in_chn": "ttl_orders_brand", "partner": "retailer"}}
+    folder = tempfile.mkdtemp(prefix="loyalflow-names-")
+    to = Targets(*(f"{folder}/{t}" for t in ("k1", "k2", "metrics", "k3")), as_tables=False)
+    out = run_pipeline(spark, small_src, replace(P, names=names), RunContext(), to)
+    assert out.columns == [names["performance"].get(c, c) for c in K3_COLUMNS]
+    assert spark.read.parquet(f"{folder}/k1").columns == ["partner_group", "member_detail_id"]
+    assert spark.read.parquet(f"{folder}/k2").columns == [names["base"].get(c, c) for c in K2_COLUMNS]
+    _, _, k3 = _jobs(spark, small_src)
+    assert out.exceptAll(k3.select(*K3_COLUMNS)).count() == 0 and out.count() == k3.count() > 0
+    with pytest.raises(ValueError, match="nothing_of_that_name"):
+        published(k3, {"nothing_of_that_name": "x"})
+
+
 def test_queries_read_the_tables_as_they_are(spark):
     import glob
     import os

@@ -119,11 +119,3 @@ def test_eff_tag_null_is_false(spark):
     df = spark.createDataFrame([(None,), (True,), (False,)], "if_eff_order_tag boolean")
     assert [r[0] for r in df.select(O.eff_line()).collect()] == [False, True, False]
     assert df.filter(F.col("if_eff_order_tag").isNull()).count() == 1
-
-
-def test_ranking_from_order_grain_equals_ranking_from_lines(small_src):
-    o = small_src.orders
-    from_lines = O.last_order_ranked(o, P)
-    from_grain = O.last_order_ranked(o, P, O.order_grain(o, P))
-    assert rows(from_lines) == rows(from_grain)
-    assert from_lines.count() > 0
