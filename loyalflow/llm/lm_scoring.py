@@ -3,7 +3,7 @@
 S(w | h) = c(h w) / c(h) if c(h w) >= CUT, else ALPHA * S(w | h without its first word); S(w) = c(w) / words. Counts are
 over all documents.
 
-Documents are dealt into chunks by a hash. A chunk explodes its n-grams of each order and sends the distinct ones with
+Documents are dealt into chunks by a hash of identifier and text, so rows without an identifier are dealt out, too. A chunk explodes its n-grams of each order and sends the distinct ones with
 their counts, packed as one row for each hash partition they belong to. A hash partition adds them up to its part of the
 count tables and joins that back: each chunk gets the totals of the n-grams it sent, in their order. Then chunks
 sum the scores of their documents. An n-gram that is everywhere is one number in each chunk's row, so no key is hot.
@@ -24,6 +24,8 @@ from loyalflow.llm.shared import tasks
 from loyalflow.llm.words import mix, words
 
 ORDER, ALPHA, CUT = 3, 0.4, 2
+#: Text of a chunk and n-grams of a hash partition, about: what one task holds. Larger ones make fewer and
+#: better packed rows between them, which is what a corpus of many TB and executors with more memory ask for.
 CHUNK_BYTES, PART_NGRAMS = 6_000_000, 4_000_000
 #: Bits of a key beyond those that number the corpus' n-grams: the odds that another one shares an n-gram's key are 2 ** -SPARE.
 SPARE, LEAST_BITS = 24, 48
@@ -61,15 +63,15 @@ def _edges(parts: int, bits: int) -> np.ndarray:
     return np.array([(i << bits) // parts for i in range(1, parts)], np.uint64)
 
 
-def lm_scores(docs: DataFrame, order: int = ORDER, alpha: float = ALPHA, cut: int = CUT) -> DataFrame:
+def lm_scores(docs: DataFrame, order: int = ORDER, alpha: float = ALPHA, cut: int = CUT, chunk_bytes: int = CHUNK_BYTES, part_ngrams: int = PART_NGRAMS) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text; other columns are ignored), whole texts: n_words, log_score (the sum of
     natural logarithms of S, rounded to 6 places) and mean_log_score (by word; null without words, as for a null text)."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     size = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     most = size // 2 * order + 2  # n-grams: a word and a blank take two bytes
     bits = min(64, max(LEAST_BITS, math.ceil(math.log2(most)) + SPARE))
-    parts = max(1, size * order // 6 // PART_NGRAMS)
-    rows = rows.withColumn("chunk", F.pmod(F.xxhash64("doc_id"), F.lit(max(1, -(-size // CHUNK_BYTES)))).cast("int"))
+    parts = max(1, size * order // 6 // part_ngrams)
+    rows = rows.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(max(1, -(-size // chunk_bytes)))).cast("int"))
     edges = _edges(parts, bits)
     kinds = [("chunk", pa.int32()), ("part", pa.int32()), ("n", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())]
 

@@ -6,6 +6,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from loyalflow.llm import bpe, exact_dedup, jaccard_join, language_id, license_scan, lm_scoring, source_mixing, toxicity
 from loyalflow.llm.words import words
@@ -172,13 +173,14 @@ def test_lm_scores_agree_with_plain_counting(spark, docs, no_docs):
     assert lm_scoring.lm_scores(no_docs).count() == 0
 
 
-def test_lm_chunks_and_parts_change_nothing(spark, monkeypatch):
+def test_lm_chunks_and_parts_change_nothing(spark):
     docs = spark.createDataFrame(list(enumerate(near_texts(5))), "doc_id long, text string")
     one = rows(lm_scoring.lm_scores(docs), "doc_id", "log_score")
-    monkeypatch.setattr(lm_scoring, "CHUNK_BYTES", 9000)
-    monkeypatch.setattr(lm_scoring, "PART_NGRAMS", 5000)
-    many = rows(lm_scoring.lm_scores(docs), "doc_id", "log_score")
+    many = rows(lm_scoring.lm_scores(docs, chunk_bytes=9000, part_ngrams=5000), "doc_id", "log_score")
     assert [a[0] for a in one] == [a[0] for a in many] and np.allclose([a[1] for a in one], [a[1] for a in many], atol=2e-6)
+    unnamed = docs.select(F.lit(None).cast("long").alias("doc_id"), "text")
+    got = sorted(r["log_score"] for r in lm_scoring.lm_scores(unnamed, chunk_bytes=9000, part_ngrams=5000).collect())
+    assert np.allclose(got, sorted(a[1] for a in one), atol=2e-6)
 
 
 # ---- language ID
