@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
-from loyalflow.llm.shared import tasks, written
+from loyalflow.llm.shared import spread_join, tasks, written
 
 FAN = 8
 KEYS = ["sha", "check", "n_bytes"]
@@ -88,6 +88,14 @@ def tree_merge(rows: DataFrame, slots: int, fan: int = FAN) -> DataFrame:
     return runs.drop("slot")
 
 
+def _merged_groups(docs: DataFrame, keep: str) -> tuple[DataFrame, DataFrame]:
+    """(doc_id and digests of each row; digests, keep_id and group_size of each different text)."""
+    sign = -1 if keep == "largest" else 1
+    rows = written(with_digests(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))).drop("text"), "digests")
+    best = tree_merge(rows.select(*KEYS, (F.col("doc_id") * sign).alias("best"), F.lit(1).cast("long").alias("n")), tasks(docs.sparkSession))
+    return rows, best.select(*KEYS, (F.col("best") * sign).alias("keep_id"), F.col("n").alias("group_size"))
+
+
 def exact_duplicates(docs: DataFrame, keep: str = "largest") -> DataFrame:
     """One row per row of ``docs`` (doc_id, text; other columns are ignored): doc_id, keep_id, group_size, kept, text_sha256.
 
@@ -95,19 +103,16 @@ def exact_duplicates(docs: DataFrame, keep: str = "largest") -> DataFrame:
     (or smallest) doc_id stays; of repeated rows one stays; a null doc_id stays only where its group has no other.
     An empty table gives an empty result.
     """
-    sign = -1 if keep == "largest" else 1
-    rows = written(with_digests(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))).drop("text"), "digests")
-    best = tree_merge(rows.select(*KEYS, (F.col("doc_id") * sign).alias("best"), F.lit(1).cast("long").alias("n")), tasks(docs.sparkSession))
-    best = best.select(*KEYS, (F.col("best") * sign).alias("keep_id"), F.col("n").alias("group_size"))
+    rows, best = _merged_groups(docs, keep)
     copies = rows.groupBy("doc_id", *KEYS).agg(F.count(F.lit(1)).alias("copies"))
-    out = copies.join(best, KEYS).withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
+    out = spread_join(copies, best, KEYS, F.col("doc_id")).withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
     kept = F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("copy") == 1)
     return out.select("doc_id", "keep_id", "group_size", kept.alias("kept"), F.lower(F.hex("sha")).alias("text_sha256"))
 
 
 def drop_duplicates(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that exact_duplicates keeps, with their columns."""
-    kept = exact_duplicates(docs).where("kept").select(F.col("doc_id").alias("_id"), F.unhex("text_sha256").alias("_sha"))
+    kept = _merged_groups(docs, "largest")[1].select(F.col("keep_id").alias("_id"), F.col("sha").alias("_sha"))
     named = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("long").alias("_row"), F.col("text").cast("string").alias("text"))
     named = with_digests(named).drop("text", "check", "n_bytes")
     one = Window.partitionBy("_row", "sha").orderBy("sha")

@@ -82,11 +82,11 @@ class Scanner:
             starts, done = [p[0] for p in places], 0
             fuzzy = []
             for at in sorted(set(near.get(i, ()))):
-                a, b = max(0, at - n.edits - 1, done - 1), min(len(text), at + size + n.edits + 1)
-                k = bisect_right(starts, b)
-                if k and places[k - 1][1] > a:  # it touches an exact place
-                    continue
-                if a < b and (m := self.patterns[i].search(text, a, b)):
+                k = bisect_right(starts, at)
+                before = places[k - 1][1] if k else 0  # the window ends where the exact places beside it begin
+                after = places[k][0] if k < len(starts) else len(text)
+                a, b = max(0, at - n.edits - 1, done - 1, before), min(len(text), at + size + n.edits + 1, after)
+                if b - a >= size - n.edits and (m := self.patterns[i].search(text, a, b)):
                     fuzzy.append((m.start(), m.end(), sum(m.fuzzy_counts)))
                     done = m.end()
             found += [(i, *p) for p in places + fuzzy]

@@ -7,7 +7,8 @@ import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _LOCAL: dict[str, str] = {}
 _SHIPPED: set[str] = set()
@@ -42,6 +43,16 @@ def tasks(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def spread_join(left: DataFrame, right: DataFrame, keys: list[str], by: Column) -> DataFrame:
+    """``left`` LEFT JOIN ``right``, which has a row for each key; a key, or null, may hold a third of ``left``.
+
+    Rows are dealt out over as many parts of their key as there are shuffle partitions, by a hash of ``by``. What
+    is known of a key goes to the parts of it that there are, and rows meet it there: no task gets a whole key."""
+    rows = left.withColumn("_part", F.pmod(F.xxhash64(by), F.lit(tasks(left.sparkSession))).cast("int"))
+    parts = rows.select(*keys, "_part").distinct().join(right, keys)
+    return rows.join(parts, [*keys, "_part"], "left").drop("_part")
+
+
 def ship(spark: SparkSession) -> None:
     """Give the executors this package, once for each application; needed where it isn't installed there."""
     app = spark.conf.get("spark.app.id")

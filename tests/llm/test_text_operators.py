@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from loyalflow.llm import bpe, exact_dedup, jaccard_join, language_id, license_scan, lm_scoring, source_mixing, toxicity
+from loyalflow.llm.shared import spread_join
 from loyalflow.llm.words import words
 from tests.llm.conftest import SCHEMA, TEXTS
 
@@ -64,6 +65,12 @@ def test_fuzzy_places_have_edits_and_spans():
     assert [(s["label"], s["edits"], text[s["start"] : s["stop"]]) for s in spans] == [("apache", 1, "Apache Licence"), ("gpl", 1, "GNU Genral Public License")]
 
 
+def test_fuzzy_places_beside_exact_ones():
+    text = "mit license mit licence mit license apache licence apache license"
+    spans = license_scan.Scanner().scan(text)[7]
+    assert [(s["label"], s["edits"], s["first_word"]) for s in spans] == [("mit", 0, 0), ("mit", 1, 2), ("mit", 0, 4), ("apache", 1, 6), ("apache", 0, 8)]
+
+
 def test_license_scan_rows(docs, no_docs):
     got = license_scan.license_scan(docs).orderBy("doc_id").collect()
     assert len(got) == len(TEXTS) and license_scan.license_scan(no_docs).count() == 0
@@ -71,6 +78,26 @@ def test_license_scan_rows(docs, no_docs):
     assert by[1]["base_labels"] == "mit" and by[1]["first_word"] == 3 and by[3]["n_words"] == 0 and by[4]["score"] == 0
 
 
+# ---- joins on keys that many rows share
+
+
+def test_spread_join_is_a_left_join_that_deals_out_hot_keys(spark):
+    key = F.when(F.col("id") % 3 > 0, F.when(F.col("id") % 3 > 1, F.lit(-1)).otherwise(F.col("id")))  # nulls, a hot key, and others
+    left = spark.range(3000).select("id", key.alias("k"))
+    right = spark.range(-1, 1500).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    got = spread_join(left, right, ["k"], F.col("id"))
+    assert sorted(map(tuple, got.select("id", "k", "v").collect()), key=repr) == sorted(map(tuple, left.join(right, "k", "left").select("id", "k", "v").collect()), key=repr)
+    assert spread_join(left, right.where("false"), ["k"], F.col("id")).where("v is null").count() == 3000
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        tasks = spread_join(left, right, ["k"], F.col("id")).groupBy(F.spark_partition_id()).count()
+        assert tasks.agg(F.max("count")).first()[0] < 1000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
 # ---- exact dedup
 
 def test_exact_dedup_rows(docs, no_docs):
