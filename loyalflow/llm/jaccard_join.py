@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from loyalflow.llm.shared import tasks, written
+from loyalflow.llm.shared import spread_join, tasks, written
 from loyalflow.llm.words import mix, shingles, words
 
 SHINGLE, SIMILARITY = 5, 0.8
@@ -296,7 +296,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     root = components(found.select(F.col("first").alias("a"), F.col("root").alias("b")))
     by_class = reps.select("cls", "first").join(links, "cls", "left").join(root, F.col("first") == F.col("node"), "left")
     by_class = by_class.select("cls", "first", F.coalesce("root", "first").alias("root"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
-    out = sets.select("doc_id", "cls", "n").join(by_class, "cls", "left")
+    out = spread_join(sets.select("doc_id", "cls", "n"), by_class, ["cls"], F.col("doc_id"))
     return out.select("doc_id", F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(F.col("root")).alias("class_id"), F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(F.col("first")).alias("set_id"), F.col("n").cast("long").alias("n_shingles"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
 
 
