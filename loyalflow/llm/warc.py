@@ -3,7 +3,8 @@
 Each task writes its records to bundles in the shared folder. A bundle is a row of independent Zstandard frames of some
 records each, and ends with the seekable format's table of frame sizes in a skippable frame, so that a reader finds any
 frame from the file's end and unpacks only that. The writer returns the index: record identifier, bundle, frame, offset
-in the unpacked frame and length. A retried task writes the same bytes under a name of its own and renames it at the end.
+in the unpacked frame and length. A retried task may get its rows in another order, so each attempt has bundles of its own;
+the index, committed by Spark, names those of the attempt that counts, and readers take no others.
 
 Payloads of MIN_REVISIT bytes and more that occur more than once are stored once, under the largest identifier; the other
 records are revisits that name it.
@@ -23,7 +24,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loyalflow.llm.shared import scratch_path, tasks
+from loyalflow.llm.shared import scratch_path, spread_join, tasks
 
 MIN_REVISIT = 1000
 FRAME_BYTES, BUNDLE_BYTES = 1 << 18, 1 << 26
@@ -140,9 +141,9 @@ def classified(pages: DataFrame) -> DataFrame:
     revisits; a null page_id is the smallest."""
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.encode(F.coalesce(F.col("html").cast("string"), F.lit("")), "utf-8").alias("html"))
     rows = rows.withColumn("payload_digest", F.sha1("html"))
-    large = rows.where(F.octet_length("html") >= MIN_REVISIT)
-    keep = large.groupBy("payload_digest").agg(F.max("page_id").alias("keep_id"), F.count(F.lit(1)).alias("n")).where("n > 1 and keep_id is not null").drop("n")
-    rows = rows.join(keep, "payload_digest", "left")  # small payloads meet nothing
+    rows = rows.withColumn("_large", F.when(F.octet_length("html") >= MIN_REVISIT, F.col("payload_digest")))  # small payloads: null, which meets nothing
+    keep = rows.where("_large is not null").groupBy("_large").agg(F.max("page_id").alias("keep_id"), F.count(F.lit(1)).alias("n")).where("n > 1 and keep_id is not null").drop("n")
+    rows = spread_join(rows, keep, ["_large"], F.col("page_id"))
     other = F.col("keep_id").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("keep_id"))
     return rows.select("page_id", "url", "html", "payload_digest", F.when(other, "revisit").otherwise("response").alias("record_type"), F.when(other, F.col("keep_id")).alias("refers_to"))
 
@@ -158,7 +159,8 @@ def write_bundles(pages: DataFrame, folder: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        writer = _Writer(to, f"part-{TaskContext.get().partitionId():06d}")
+        task = TaskContext.get()
+        writer = _Writer(to, f"part-{task.partitionId():06d}-{task.taskAttemptId()}")
         for b in batches:
             for page_id, url, html, digest, kind, refers in zip(*(b.column(i) for i in range(6)), strict=True):
                 page, sha = page_id.as_py(), digest.as_py()
