@@ -20,8 +20,9 @@ from pyspark.sql import functions as F
 
 from loyalflow.llm.words import words
 
-#: Fit: rows of each label at most, in the order of a hash; features; a feature's least toxic rows; grades beyond 0.
-SAMPLE, FEATURES, SUPPORT, GRADES = 2000, 1024, 5, 3
+#: Fit: rows of each label at most, in the order of a hash; features, the surest (more bring in words of often copied texts, which add
+#: up in very long ones); a feature's least toxic rows; grades beyond 0.
+SAMPLE, FEATURES, SUPPORT, GRADES = 2000, 128, 5, 3
 PREFIXES, SPACE_BITS = (4, 5, 6), 30
 RIDGE, STEPS = 1e-5, 500
 SCHEMA = "doc_id long, severity double, p_toxic double, grade int, toxic boolean"
