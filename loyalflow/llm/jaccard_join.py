@@ -27,8 +27,10 @@ from loyalflow.llm.words import mix, shingles, words
 SHINGLE, SIMILARITY = 5, 0.8
 TARGET_RECALL, LAMBDA, DEPTH, SMALL = 0.999, 0.7, 3, 1024
 BINS = 64
+#: Parts that a text without an identifier is fetched in.
+SPREAD = 16
 _ODD, _ODD2 = np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
-SETS = "doc_id long, cls binary, n int, sketch binary, paths array<struct<p1: bigint, p2s: array<struct<p2: bigint, p3s: array<bigint>>>>>"
+SETS = "doc_id long, digest long, row long, cls binary, n int, sketch binary, paths array<struct<p1: bigint, p2s: array<struct<p2: bigint, p3s: array<bigint>>>>>"
 
 
 def runs_needed(target: float = TARGET_RECALL, similarity: float = SIMILARITY) -> int:
@@ -98,7 +100,7 @@ def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for at in range(0, whole.num_rows, 2000):
             b = whole.slice(at, 2000)
             cls, n, sketches, counts, paths = [], [], [], [[], [], []], [[], [], []]
-            for s in _row_sets(b.column(1)):
+            for s in _row_sets(b.column(3)):
                 n.append(len(s))
                 cls.append(class_of(s) if len(s) else None)
                 sketches.append(sketch(s) if len(s) else None)
@@ -110,7 +112,7 @@ def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     paths[k].append(levels[k][1])
             p2s = pa.StructArray.from_arrays([flat(paths[1]), _list(counts[2], flat(paths[2]))], ["p2", "p3s"])
             p1s = pa.StructArray.from_arrays([flat(paths[0]), _list(counts[1], p2s)], ["p1", "p2s"])
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(cls, pa.binary()), pa.array(n, pa.int32()), pa.array(sketches, pa.binary()), _list(counts[0], p1s)], ["doc_id", "cls", "n", "sketch", "paths"])
+            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(cls, pa.binary()), pa.array(n, pa.int32()), pa.array(sketches, pa.binary()), _list(counts[0], p1s)], ["doc_id", "digest", "row", "cls", "n", "sketch", "paths"])
 
 
 def _leaves(reps: DataFrame) -> DataFrame:
@@ -137,11 +139,11 @@ GROUP = ["bucket", "low", "high"]
 def _grouped(leaves: DataFrame, reps: DataFrame) -> DataFrame:
     """A row for each set and group it is compared in: large buckets have a group for each pair of their blocks."""
     own = leaves.groupBy("cls").agg(F.sort_array(F.collect_list(F.struct("bucket", "members"))).alias("own"))  # a few for each run
-    rows = own.join(reps.select("cls", "first", "n", "sketch"), "cls")
-    rows = rows.select("cls", "first", "n", "sketch", F.col("own.bucket").alias("own"), F.explode("own").alias("leaf"))
+    rows = own.join(reps.select("cls", "n", "sketch"), "cls")
+    rows = rows.select("cls", "n", "sketch", F.col("own.bucket").alias("own"), F.explode("own").alias("leaf"))
     blocks = F.ceil(F.col("leaf.members") / SMALL).cast("int")
     rows = rows.withColumn("block", F.pmod(F.xxhash64("cls"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    return rows.select(F.col("leaf.bucket").alias("bucket"), F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "cls", "first", "n", "sketch", "own")
+    return rows.select(F.col("leaf.bucket").alias("bucket"), F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "cls", "n", "sketch", "own")
 
 
 def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
@@ -218,7 +220,7 @@ def _with_candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
 
 
 def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(cls, links, first, root): each set's links in a group, and the least first document of what they connect."""
+    """(cls, links, root): each set's links in a group, and the least class of what they connect."""
     for t in _groups(batches):
         if t.num_rows < 2:
             continue
@@ -226,7 +228,7 @@ def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fresh = [k for k in range(len(names)) if not k or names[k] != names[k - 1]]
         t = t.take(pa.array(fresh))
         sets = [np.frombuffer(x, np.uint64) for x in t.column("set").to_pylist()]
-        first, cls = t.column("first").to_pylist(), t.column("cls").to_pylist()
+        cls = t.column("cls").to_pylist()
         links, up = np.zeros(t.num_rows, np.int64), list(range(t.num_rows))
 
         def root(x: int, up: list[int] = up) -> int:
@@ -241,9 +243,9 @@ def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 links[[i, j]] += 1
                 a, b = root(i), root(j)
                 if a != b:
-                    up[max(a, b, key=lambda x: first[x])] = min(a, b, key=lambda x: first[x])
+                    up[max(a, b, key=lambda x: cls[x])] = min(a, b, key=lambda x: cls[x])
         rows = np.flatnonzero(links)
-        yield pa.RecordBatch.from_arrays([pa.array([cls[k] for k in rows], pa.binary()), pa.array(links[rows]), pa.array([first[k] for k in rows], pa.int64()), pa.array([first[root(k)] for k in rows], pa.int64())], ["cls", "links", "first", "root"])
+        yield pa.RecordBatch.from_arrays([pa.array([cls[k] for k in rows], pa.binary()), pa.array(links[rows]), pa.array([cls[root(k)] for k in rows], pa.binary())], ["cls", "links", "root"])
 
 
 def _sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -272,41 +274,68 @@ def components(edges: DataFrame) -> DataFrame:
         state = seen
 
 
+def _fetched(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(cls, set) of each class asked for, once. texts: doc_id, digest, text. wanted: cls, first, digest. Texts without an
+    identifier are met by their digest, never all with all, and one that many rows repeat is dealt out over SPREAD parts."""
+    none = F.col("doc_id").isNull()
+    rows = texts.withColumn("part", F.when(none, F.pmod(F.monotonically_increasing_id(), F.lit(SPREAD))).otherwise(F.lit(0)).cast("int"))
+    asked = wanted.withColumn("part", F.explode(F.when(F.col("first").isNull(), F.sequence(F.lit(0), F.lit(SPREAD - 1))).otherwise(F.array(F.lit(0)))))
+    asked = asked.withColumnRenamed("digest", "own").withColumnRenamed("part", "own_part")
+    same = F.col("doc_id").eqNullSafe(F.col("first")) & (F.col("digest") == F.col("own")) & (F.col("part") == F.col("own_part"))
+    found = rows.join(asked, same).select("cls", "text").mapInArrow(_sets_of, "cls binary, set binary")
+    return found.groupBy("cls").agg(F.first("set").alias("set"))  # repeated rows bring a set several times
+
+
+def _near(docs: DataFrame) -> DataFrame:
+    """``near_duplicates`` with, for each row, the digest of its text and whether it is the one that stands for its class
+    where no document of that has an identifier (rep)."""
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).select("doc_id", F.xxhash64("text").alias("digest"), "text")
+    sets = written(texts.select("doc_id", "digest", F.monotonically_increasing_id().alias("row"), "text").mapInArrow(_sketched, SETS), "sets")
+    one = Window.partitionBy("cls").orderBy(F.col("doc_id").asc_nulls_last(), "digest")
+    reps = sets.where("cls is not null").withColumn("nth", F.row_number().over(one)).where("nth = 1")
+    reps = written(reps.select("cls", F.col("doc_id").alias("first"), "digest", "n", "sketch", "paths"), "classes")
+    n = tasks(docs.sparkSession)
+    deal = lambda rows: rows.repartition(n, *GROUP).sortWithinPartitions(*GROUP, "cls")
+    rows = _grouped(_leaves(reps), reps)
+    kept = written(deal(rows).mapInArrow(_with_candidates, rows.schema), "candidates")
+    wanted = kept.select("cls").distinct().join(reps.select("cls", "first", "digest"), "cls")
+    whole = _fetched(texts, wanted)
+    found = written(deal(kept.join(whole, "cls")).mapInArrow(_linked, "cls binary, links long, root binary"), "links")
+    root = components(found.select(F.col("cls").alias("a"), F.col("root").alias("b")))
+    links = found.groupBy("cls").agg(F.sum("links").alias("n_links")).join(reps.select("cls", "first"), "cls").join(root, F.col("cls") == F.col("node"), "left")
+    links = written(links.select("cls", "first", "n_links", F.coalesce("root", "cls").alias("root")), "linked")
+    least = links.groupBy("root").agg(F.min("first").alias("least"))  # null only where all are
+    links = spread_join(links.drop("first"), least, ["root"], F.col("cls"))
+    by_class = reps.select("cls", "first", F.col("digest").alias("own")).join(links, "cls", "left")
+    by_class = by_class.select("cls", "first", "own", F.when(F.col("root").isNull(), F.col("first")).otherwise(F.col("least")).alias("least"), F.coalesce(F.col("root") == F.col("cls"), F.lit(True)).alias("is_root"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    out = spread_join(sets.select("doc_id", "digest", "row", "cls", "n"), by_class, ["cls"], F.col("row"))
+    none = F.col("cls").isNull()
+    rep = F.col("doc_id").isNull() & (none | (F.col("least").isNull() & F.col("is_root") & (F.col("digest") == F.col("own"))))
+    return out.select("doc_id", F.when(none, F.col("doc_id")).otherwise(F.col("least")).alias("class_id"), F.when(none, F.col("doc_id")).otherwise(F.col("first")).alias("set_id"), F.col("n").cast("long").alias("n_shingles"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), "digest", rep.alias("rep"))
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text; other columns are ignored): doc_id, class_id, set_id, n_shingles, n_links.
 
     Two texts are linked if their sets of SHINGLE-word shingles have a Jaccard similarity of SIMILARITY or more. A text
     of fewer words has one shingle of all its words; one without words (or null) has no links and a class of its own.
     n_links counts other sets that the text's set is linked to, set_id is the least doc_id with the same set, class_id
-    the least doc_id of all that links and equal sets connect. doc_id names a document: repeated rows are copies.
+    the least doc_id of all that links and equal sets connect; each is null only where none of them has a doc_id.
+    doc_id names a document: repeated rows are copies. Rows without one are told apart by their texts.
     """
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    sets = written(texts.mapInArrow(_sketched, SETS), "sets")
-    one = Window.partitionBy("cls").orderBy(F.col("doc_id").asc_nulls_last())
-    reps = sets.where("cls is not null").withColumn("nth", F.row_number().over(one)).where("nth = 1")
-    reps = written(reps.select("cls", F.col("doc_id").alias("first"), "n", "sketch", "paths"), "classes")
-    n = tasks(docs.sparkSession)
-    deal = lambda rows: rows.repartition(n, *GROUP).sortWithinPartitions(*GROUP, "cls")
-    rows = _grouped(_leaves(reps), reps)
-    kept = written(deal(rows).mapInArrow(_with_candidates, rows.schema), "candidates")
-    wanted = kept.select("cls", "first").distinct()
-    whole = texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("first"))).select("cls", "text").mapInArrow(_sets_of, "cls binary, set binary")
-    found = written(deal(kept.join(whole, "cls")).mapInArrow(_linked, "cls binary, links long, first long, root long"), "links")
-    links = found.groupBy("cls").agg(F.sum("links").alias("n_links"))
-    root = components(found.select(F.col("first").alias("a"), F.col("root").alias("b")))
-    by_class = reps.select("cls", "first").join(links, "cls", "left").join(root, F.col("first") == F.col("node"), "left")
-    by_class = by_class.select("cls", "first", F.coalesce("root", "first").alias("root"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
-    out = spread_join(sets.select("doc_id", "cls", "n"), by_class, ["cls"], F.col("doc_id"))
-    return out.select("doc_id", F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(F.col("root")).alias("class_id"), F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(F.col("first")).alias("set_id"), F.col("n").cast("long").alias("n_shingles"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+    return _near(docs).drop("digest", "rep")
 
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is the least of its class, once each, with their columns."""
-    kept = near_duplicates(docs).where("doc_id <=> class_id").select(F.col("doc_id").alias("_kept")).distinct()
-    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("long").alias("_id"), F.xxhash64("text").alias("_text"))
+    """The rows of ``docs`` whose doc_id is the least of its class, once each, with their columns; of a class without any
+    doc_id, one text."""
+    text_of = F.when(F.col("doc_id").isNull(), F.col("digest"))
+    kept = _near(docs).where("doc_id = class_id or rep").select(F.col("doc_id").alias("_kept"), text_of.alias("_kept_text")).distinct()
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("long").alias("_id"), F.xxhash64(F.col("text").cast("string")).alias("_text"))
     once = Window.partitionBy("_id", "_text").orderBy("_text")
     rows = rows.withColumn("nth", F.row_number().over(once)).where("nth = 1")
-    return rows.join(kept, F.col("_id").eqNullSafe(F.col("_kept")), "left_semi").select("row.*")
+    same = F.col("_id").eqNullSafe(F.col("_kept")) & F.when(F.col("_id").isNull(), F.col("_text")).eqNullSafe(F.col("_kept_text"))
+    return rows.join(kept, same, "left_semi").select("row.*")
 
 
 def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

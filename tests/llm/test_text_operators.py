@@ -173,6 +173,29 @@ def test_jaccard_rows(docs, no_docs):
     assert left.columns == docs.columns and rows(left, "doc_id") == sorted([(1,), (3,), (4,), (5,), (6,), (7,), (8,), (None,)], key=repr)
 
 
+def test_jaccard_near_copies_without_identifiers(spark):
+    def text(topic, last):
+        return " ".join(f"{topic}{k}" for k in range(60)) + f" {last}"
+
+    docs = [(None, text("a", "x")), (None, text("a", "y")), (None, text("a", "y")), (None, text("b", "x")), (7, text("b", "y")), (9, text("b", "z")), (None, text("c", "x")), (None, "!!!"), (3, text("d", "x"))]
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    got = sorted((tuple(r) for r in jaccard_join.near_duplicates(docs).select("doc_id", "class_id", "set_id", "n_links").collect()), key=repr)
+    want = [(None, None, None, 1)] * 3 + [(None, 7, None, 2), (7, 7, 7, 2), (9, 7, 9, 2), (None, None, None, 0), (None, None, None, 0), (3, 3, 3, 0)]
+    assert got == sorted(want, key=repr)
+    left = [tuple(r) for r in jaccard_join.drop_near_duplicates(docs).collect()]
+    assert sum(t.startswith("a0 ") for _, t in left) == 1
+    assert sorted((r for r in left if not r[1].startswith("a0 ")), key=repr) == sorted([(7, text("b", "y")), (None, text("c", "x")), (None, "!!!"), (3, text("d", "x"))], key=repr)
+
+
+def test_texts_without_identifiers_are_fetched_once_each(spark):
+    texts = [f"own{k} words that are not the others" for k in range(30)]
+    docs = spark.createDataFrame([(None, t) for t in texts] * 3, "doc_id long, text string").select("doc_id", F.xxhash64("text").alias("digest"), "text")
+    names = [(jaccard_join.class_of(s), t) for s, t in zip(jaccard_join._row_sets(pa.array(texts)), texts)]
+    wanted = spark.createDataFrame(names, "cls binary, text string").select("cls", F.lit(None).cast("long").alias("first"), F.xxhash64("text").alias("digest"))
+    got = [bytes(r["cls"]) for r in jaccard_join._fetched(docs, wanted).collect()]
+    assert sorted(got) == sorted(c for c, _ in names)
+
+
 def test_components_join_long_chains(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100 + i, 100) for i in range(1, 30)], "a long, b long")
     got = dict(map(tuple, jaccard_join.components(edges).collect()))
