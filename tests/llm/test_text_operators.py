@@ -173,6 +173,16 @@ def test_jaccard_rows(docs, no_docs):
     assert left.columns == docs.columns and rows(left, "doc_id") == sorted([(1,), (3,), (4,), (5,), (6,), (7,), (8,), (None,)], key=repr)
 
 
+@pytest.mark.parametrize("seed", [14079, 23418, 24620])
+def test_sketches_keep_unlucky_pairs_at_the_threshold(seed):
+    """Pairs with a similarity of 0.8 that only 38 of 64 bins show."""
+    u = np.random.default_rng(seed).integers(0, 1 << 64, 1000, np.uint64, endpoint=False)
+    sets = [np.sort(u[:900]), np.sort(u[100:])]
+    t = {"bucket": [1, 1], "low": [0, 0], "high": [0, 0], "block": [0, 0], "n": [900, 900], "own": [[1], [1]]}
+    i, j = jaccard_join._candidates(pa.table(t | {"cls": [jaccard_join.class_of(s) for s in sets], "sketch": [jaccard_join.sketch(s) for s in sets]}))
+    assert list(zip(i, j)) == [(0, 1)]
+
+
 def test_jaccard_near_copies_without_identifiers(spark):
     def text(topic, last):
         return " ".join(f"{topic}{k}" for k in range(60)) + f" {last}"
