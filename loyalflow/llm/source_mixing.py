@@ -58,23 +58,24 @@ def rates(docs: DataFrame, weights: Mapping[str, float] | None = None, epochs: f
 
 def mix(docs: DataFrame, weights: Mapping[str, float] | None = None, epochs: float = EPOCHS, seed: int = SEED) -> DataFrame:
     """Copies of the rows of ``docs`` (doc_id, text, source and others, which are kept) in shuffled order, with copy_no
-    (from 1), n_copies and shuffle_key; columns of these names give way. Repeated rows get equal counts each."""
+    (from 1), n_copies and shuffle_key; columns of these names give way. Repeated rows get equal counts each, as do rows
+    of a source without an identifier, which share one draw and are dealt out by their texts."""
     spark = docs.sparkSession
     table = written(rates(docs, weights, epochs), "rates")
-    row = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").alias("_id"), F.col("source").cast("string").alias("_source"))
+    row = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").alias("_id"), F.col("source").cast("string").alias("_source"), F.when(F.col("doc_id").isNull(), F.xxhash64(F.col("text").cast("string"))).alias("_deal"))
     if table.count() <= BROADCAST_SOURCES:
         joined = row.join(F.broadcast(table), F.col("_source").eqNullSafe(F.col("source")))
     else:
         salted = table.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        row = row.withColumn("_salt", F.pmod(F.hash("_id"), F.lit(SALTS)))
+        row = row.withColumn("_salt", F.pmod(F.hash("_id", "_deal"), F.lit(SALTS)))
         joined = row.join(salted, F.col("_source").eqNullSafe(F.col("source")) & (F.col("_salt") == F.col("salt")))
     drawn = lambda part: F.size(F.filter("cdf", lambda c: c <= uniform(F.lit(seed), F.col("_id"), part)))
     count = F.aggregate(F.sequence(F.lit(1), F.col("parts")), F.lit(0), lambda n, part: n + drawn(part))
-    copies = joined.select("row", "_id", count.alias("n_copies")).where("n_copies > 0")
+    copies = joined.select("row", "_id", "_deal", count.alias("n_copies")).where("n_copies > 0")
     copies = copies.withColumn("copy_no", F.explode(F.sequence(F.lit(1), F.col("n_copies"))))
     copies = copies.withColumn("shuffle_key", F.md5(F.concat_ws(":", F.lit(seed), F.lit("order"), F.coalesce(F.col("_id").cast("string"), F.lit("null")), F.col("copy_no"))))
     rest = [c for c in docs.columns if c not in ("copy_no", "n_copies", "shuffle_key")]
-    out = copies.repartition(tasks(spark), "shuffle_key").sortWithinPartitions("shuffle_key")
+    out = copies.repartition(tasks(spark), "shuffle_key", "_deal").sortWithinPartitions("shuffle_key")
     return out.select(*(F.col("row")[c].alias(c) for c in rest), "copy_no", "n_copies", "shuffle_key")
 
 

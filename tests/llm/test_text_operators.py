@@ -310,6 +310,13 @@ def test_mixing_counts_are_poisson_and_seeded(spark):
     assert rows(source_mixing.mix(docs, epochs=1.3).limit(0).sparkSession.range(1), "id") == [(0,)]
 
 
+def test_rows_without_identifiers_are_many_tasks_work(spark):
+    docs = spark.createDataFrame([(None, f"text {i}", "en", "a") for i in range(400)], SCHEMA)
+    got = source_mixing.mix(docs, epochs=3.0).groupBy(F.spark_partition_id().alias("task"), "copy_no").count().collect()
+    by_copy = Counter(r["copy_no"] for r in got)
+    assert got and min(by_copy.values()) > 1
+
+
 def test_salted_rates_change_nothing(spark, docs, no_docs, monkeypatch):
     one = rows(source_mixing.mix(docs, epochs=3), "doc_id", "copy_no", "n_copies", "shuffle_key")
     monkeypatch.setattr(source_mixing, "BROADCAST_SOURCES", 0)
