@@ -8,12 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 from loyalflow.llm import (
     bpe,
+    conversation_repair,
     exact_dedup,
     hashed_neighbours,
     jaccard_join,
     language_id,
     license_scan,
     lm_scoring,
+    prefix_trie,
+    sentence_pieces,
     source_mixing,
     toxicity,
     warc,
@@ -31,6 +34,9 @@ def _shipped(query: Query) -> Query:
     return run
 
 
-_MODULES = [license_scan, jaccard_join, lm_scoring, language_id, source_mixing, toxicity, hashed_neighbours, warc, bpe, exact_dedup]
+_MODULES = [
+    license_scan, jaccard_join, lm_scoring, language_id, source_mixing, toxicity, hashed_neighbours, warc, bpe, exact_dedup, prefix_trie, sentence_pieces,
+    conversation_repair,
+]
 QUERIES = {name: _shipped(f) for m in _MODULES for name, f in m.QUERIES.items()}
 ORACLE_SQL = {name: sql for m in _MODULES for name, sql in m.ORACLE_SQL.items()}
