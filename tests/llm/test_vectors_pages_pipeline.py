@@ -104,7 +104,7 @@ def test_query_agrees_with_its_sql(spark, name):
     import duckdb
 
     con = duckdb.connect()
-    for table in ("documents", "pages"):
+    for table in ("documents", "pages", "conversations"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SMALL}/{table}.parquet'")
     got = QUERIES[name](spark, SMALL).toArrow()
     want = con.sql(ORACLE_SQL[name]).to_arrow_table()
