@@ -58,24 +58,25 @@ def rates(docs: DataFrame, weights: Mapping[str, float] | None = None, epochs: f
 
 def mix(docs: DataFrame, weights: Mapping[str, float] | None = None, epochs: float = EPOCHS, seed: int = SEED) -> DataFrame:
     """Copies of the rows of ``docs`` (doc_id, text, source and others, which are kept) in shuffled order, with copy_no
-    (from 1), n_copies and shuffle_key; columns of these names give way. Repeated rows get equal counts each, as do rows
-    of a source without an identifier, which share one draw and are dealt out by their texts."""
+    (from 1), n_copies and shuffle_key; columns of these names give way. Repeated rows get equal counts each. A row without an
+    identifier is named by the MD5 of its text, so that each text of a source has a draw and a place of its own."""
     spark = docs.sparkSession
     table = written(rates(docs, weights, epochs), "rates")
-    row = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").alias("_id"), F.col("source").cast("string").alias("_source"), F.when(F.col("doc_id").isNull(), F.xxhash64(F.col("text").cast("string"))).alias("_deal"))
+    name = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("t"), F.md5(F.coalesce(F.col("text").cast("string"), F.lit("")))))
+    row = docs.select(F.struct(*docs.columns).alias("row"), name.alias("_id"), F.col("source").cast("string").alias("_source"))
     if table.count() <= BROADCAST_SOURCES:
         joined = row.join(F.broadcast(table), F.col("_source").eqNullSafe(F.col("source")))
     else:
         salted = table.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        row = row.withColumn("_salt", F.pmod(F.hash("_id", "_deal"), F.lit(SALTS)))
+        row = row.withColumn("_salt", F.pmod(F.hash("_id"), F.lit(SALTS)))
         joined = row.join(salted, F.col("_source").eqNullSafe(F.col("source")) & (F.col("_salt") == F.col("salt")))
     drawn = lambda part: F.size(F.filter("cdf", lambda c: c <= uniform(F.lit(seed), F.col("_id"), part)))
     count = F.aggregate(F.sequence(F.lit(1), F.col("parts")), F.lit(0), lambda n, part: n + drawn(part))
-    copies = joined.select("row", "_id", "_deal", count.alias("n_copies")).where("n_copies > 0")
+    copies = joined.select("row", "_id", count.alias("n_copies")).where("n_copies > 0")
     copies = copies.withColumn("copy_no", F.explode(F.sequence(F.lit(1), F.col("n_copies"))))
-    copies = copies.withColumn("shuffle_key", F.md5(F.concat_ws(":", F.lit(seed), F.lit("order"), F.coalesce(F.col("_id").cast("string"), F.lit("null")), F.col("copy_no"))))
+    copies = copies.withColumn("shuffle_key", F.md5(F.concat_ws(":", F.lit(seed), F.lit("order"), F.col("_id"), F.col("copy_no"))))
     rest = [c for c in docs.columns if c not in ("copy_no", "n_copies", "shuffle_key")]
-    out = copies.repartition(tasks(spark), "shuffle_key", "_deal").sortWithinPartitions("shuffle_key")
+    out = copies.repartition(tasks(spark), "shuffle_key").sortWithinPartitions("shuffle_key")
     return out.select(*(F.col("row")[c].alias(c) for c in rest), "copy_no", "n_copies", "shuffle_key")
 
 
@@ -86,7 +87,8 @@ def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {"op5_source_mixing": op5_source_mixing}
 ORACLE_SQL = {
     "op5_source_mixing": """
-        WITH RECURSIVE sizes AS (
+        WITH RECURSIVE named AS (SELECT *, coalesce(doc_id::VARCHAR, 't' || md5(coalesce(text, ''))) AS name FROM documents),
+        sizes AS (
             SELECT source, sum(length(coalesce(text, '')))::DOUBLE AS size FROM documents GROUP BY source),
         rated AS (
             SELECT source, CASE WHEN size > 0 THEN 1.0::DOUBLE * sum(size) OVER () * sqrt(size) / sum(sqrt(size)) OVER () / size ELSE 1.0 END AS rate
@@ -98,16 +100,16 @@ ORACLE_SQL = {
             SELECT source, parts, mean, k + 1, p * mean / (k + 1), below + p * mean / (k + 1)
             FROM points WHERE k < ceil(mean + 10 * sqrt(mean) + 20)),
         drawn AS (
-            SELECT d.doc_id, s.source, g.part,
-                   ('0x' || substr(md5('17:' || coalesce(d.doc_id::VARCHAR, 'null') || ':' || g.part), 1, 12))::BIGINT::DOUBLE / 281474976710656.0 AS u
-            FROM (SELECT DISTINCT doc_id, source FROM documents) d JOIN split s ON d.source IS NOT DISTINCT FROM s.source,
+            SELECT d.name, s.source, g.part,
+                   ('0x' || substr(md5('17:' || d.name || ':' || g.part), 1, 12))::BIGINT::DOUBLE / 281474976710656.0 AS u
+            FROM (SELECT DISTINCT name, source FROM named) d JOIN split s ON d.source IS NOT DISTINCT FROM s.source,
                  LATERAL (SELECT unnest(range(1, s.parts + 1)) AS part) g),
         counted AS (
-            SELECT doc_id, d.source, count(*)::INT AS n_copies
+            SELECT name, d.source, count(*)::INT AS n_copies
             FROM drawn d JOIN points p ON d.source IS NOT DISTINCT FROM p.source AND p.below <= d.u GROUP BY ALL)
         SELECT d.doc_id, d.text, d.lang, d.source, d.n_chars, c.copy_no::INT AS copy_no, n.n_copies,
-               md5('17:order:' || coalesce(d.doc_id::VARCHAR, 'null') || ':' || c.copy_no) AS shuffle_key
-        FROM documents d JOIN counted n ON d.doc_id IS NOT DISTINCT FROM n.doc_id AND d.source IS NOT DISTINCT FROM n.source,
+               md5('17:order:' || d.name || ':' || c.copy_no) AS shuffle_key
+        FROM named d JOIN counted n ON d.name = n.name AND d.source IS NOT DISTINCT FROM n.source,
              LATERAL (SELECT unnest(range(1, n.n_copies + 1)) AS copy_no) c
     """,
 }

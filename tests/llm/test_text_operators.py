@@ -307,7 +307,18 @@ def test_mixing_counts_are_poisson_and_seeded(spark):
     for k in (1, 2, 3):
         want = 20_000 * math.exp(-1.3) * 1.3**k / math.factorial(k)
         assert abs(count[k] - want) < 5 * math.sqrt(want)
-    assert rows(source_mixing.mix(docs, epochs=1.3).limit(0).sparkSession.range(1), "id") == [(0,)]
+    once, again, other = (rows(source_mixing.mix(docs, epochs=1.3, seed=s), "doc_id", "copy_no", "shuffle_key") for s in (17, 17, 18))
+    assert once == again and {r[2] for r in once}.isdisjoint(r[2] for r in other) and {r[:2] for r in once} != {r[:2] for r in other}
+
+
+@pytest.mark.parametrize("ids", ["null", "if(id % 2 = 0, null, id)"])
+def test_rows_without_identifiers_meet_their_targets(spark, ids):
+    docs = spark.range(0, 10_000).selectExpr(f"cast({ids} as long) doc_id", "concat('text ', 10000 + id) text", "if(id % 4 = 0, 'a', 'b') source")
+    got = list(source_mixing.mix(docs, {"a": 1.0, "b": 1.0}).collect())
+    for source in "ab":
+        own = Counter(r["n_copies"] for r in got if r["source"] == source and r["copy_no"] == 1)
+        assert abs(sum(k * n for k, n in own.items()) - 5_000) < 5 * math.sqrt(5_000) and len(own) > 3
+    assert len({r["shuffle_key"] for r in got}) == len(got)
 
 
 def test_rows_without_identifiers_are_many_tasks_work(spark):
