@@ -27,6 +27,8 @@ from loyalflow.llm.words import mix, shingles, words
 SHINGLE, SIMILARITY = 5, 0.8
 TARGET_RECALL, LAMBDA, DEPTH, SMALL = 0.999, 0.7, 3, 1024
 BINS = 64
+#: Rows of a group up to which its pairs are looked at one distance after the other.
+FEW = 24
 #: Standard deviations that a sketch may fall short of the threshold: of 64 bins, a pair at it loses more in 2 of 10 ** 8 cases.
 MARGIN = 6
 #: Parts that a text without an identifier is fetched in.
@@ -177,39 +179,74 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(rest)
 
 
+def _gram(row: np.ndarray, item: np.ndarray, m: int, work: float = math.inf) -> np.ndarray | None:
+    """How many items each two of m rows share: a 0/1 matrix times itself, in slices of items. None beyond so much work."""
+    _, column, copies = np.unique(item, return_inverse=True, return_counts=True)
+    shared = copies > 1  # others are in no two rows
+    n, keep = int(shared.sum()), shared[column]
+    if float(m) * m * n > work:
+        return None
+    row, column = row[keep], (np.cumsum(shared) - 1)[column[keep]]
+    order = np.argsort(column, kind="stable")
+    row, column, total = row[order], column[order], np.zeros((m, m), np.float32)
+    for a in range(0, n, 2048):
+        x, y = np.searchsorted(column, [a, a + 2048])
+        part = np.zeros((m, min(2048, n - a)), np.float32)
+        part[row[x:y], column[x:y] - a] = 1
+        total += part @ part.T
+    return total
+
+
+def _alike(sk: np.ndarray, n: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Whether the sizes and sketches of each pair allow the similarity."""
+    out = np.minimum(n[i], n[j]) >= SIMILARITY * np.maximum(n[i], n[j])
+    for k in range(0, len(i), 50_000):
+        at = np.flatnonzero(out[k : k + 50_000]) + k
+        a, b = sk[i[at]], sk[j[at]]
+        used = ((a | b) != 0).sum(axis=1)
+        same = ((a == b) & (a != 0)).sum(axis=1)
+        out[at] = same >= used * SIMILARITY - MARGIN * np.sqrt(used * SIMILARITY * (1 - SIMILARITY))
+    return out
+
+
 def _candidates(t: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    """Row numbers of pairs of a group that may be similar enough and belong to its bucket."""
+    """Row numbers of pairs of a group that may be similar enough and belong to its bucket: no lesser bucket holds both."""
     t = t.combine_chunks()
     bucket, low, high, block, n = (t.column(c).to_numpy() for c in ("bucket", "low", "high", "block", "n"))
     sk = np.frombuffer(b"".join(t.column("sketch").to_pylist()), np.uint8).reshape(-1, BINS)
-    cls = t.column("cls").to_pylist()
-    lists = t.column("own").to_pylist()
-    own = np.full((len(lists), max(map(len, lists))), np.iinfo(np.int64).max)
-    for i, x in enumerate(lists):
-        own[i, : len(x)] = x
-    found, d, at = [], 1, np.arange(len(bucket))
+    lists = t.column("own").combine_chunks()
+    own = lists.flatten().to_numpy()
+    of = np.concatenate([[0], np.cumsum(np.diff(lists.offsets.to_numpy()))])
+    fresh = np.flatnonzero(np.append(True, (bucket[1:] != bucket[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])))
+    sizes = np.diff(np.append(fresh, len(bucket)))
+    found: list[tuple[np.ndarray, np.ndarray]] = []
+    for a, m in zip(fresh[sizes > FEW].tolist(), sizes[sizes > FEW].tolist(), strict=True):
+        # a product tells which pairs meet in a lesser bucket already; only the others are looked at
+        row = np.repeat(np.arange(m), np.diff(of[a : a + m + 1]))
+        item = own[of[a] : of[a + m]]
+        lesser = item < bucket[a]
+        i, j = np.nonzero(np.triu(_gram(row[lesser], item[lesser], m) == 0, 1))
+        i, j = i + a, j + a
+        mine = (low[a] == high[a]) | (block[i] != block[j])
+        i, j = i[mine], j[mine]
+        ok = _alike(sk, n, i, j)
+        found.append((i[ok], j[ok]))
+    at, d = np.flatnonzero(np.repeat(sizes <= FEW, sizes)), 1
+    group = np.repeat(np.arange(len(fresh)), sizes)
     while len(at):
         at = at[at + d < len(bucket)]
-        at = at[(bucket[at] == bucket[at + d]) & (low[at] == low[at + d]) & (high[at] == high[at + d])]
-        for k in range(0, len(at), 50_000):
-            i = at[k : k + 50_000]
-            j = i + d
-            ok = (np.minimum(n[i], n[j]) >= SIMILARITY * np.maximum(n[i], n[j])) & ((low[i] == high[i]) | (block[i] != block[j]))
-            i, j = i[ok], j[ok]
-            a, b = sk[i], sk[j]
-            used = ((a | b) != 0).sum(axis=1)
-            same = ((a == b) & (a != 0)).sum(axis=1)
-            ok = same >= used * SIMILARITY - MARGIN * np.sqrt(used * SIMILARITY * (1 - SIMILARITY))
-            i, j = i[ok], j[ok]
-            for q in range(0, len(i), 4000):
-                x, y = i[q : q + 4000], j[q : q + 4000]
-                common = ((own[x][:, :, None] == own[y][:, None, :]).any(axis=2)) & (own[x] != np.iinfo(np.int64).max)
-                least = own[x, common.argmax(axis=1)]
-                mine = least == bucket[x]
-                found.append((x[mine], y[mine]))
+        at = at[group[at] == group[at + d]]
+        i = at[(low[at] == high[at]) | (block[at] != block[at + d])]
+        j = i + d
+        ok = _alike(sk, n, i, j)
+        i, j = i[ok], j[ok]
+        for x, y in zip(i.tolist(), j.tolist(), strict=True):
+            if np.intersect1d(own[of[x] : of[x + 1]], own[of[y] : of[y + 1]], assume_unique=True)[0] == bucket[x]:
+                found.append((np.array([x]), np.array([y])))
         d += 1
     i = np.concatenate([x for x, _ in found]) if found else np.zeros(0, int)
     j = np.concatenate([y for _, y in found]) if found else np.zeros(0, int)
+    cls = t.column("cls").to_pylist()
     differ = np.array([cls[a] != cls[b] for a, b in zip(i, j, strict=True)], bool)  # a repeated row may bring a set twice
     return i[differ], j[differ]
 
@@ -221,6 +258,21 @@ def _with_candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
             yield from t.take(pa.array(np.unique(np.concatenate([i, j])))).combine_chunks().to_batches()
 
 
+def common(sets: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """How many shingles the sets of each pair share. sets: sorted, without repeats.
+
+    A few pairs are intersected one by one. Many pairs of few sets, as in a group of near copies, are one product; whichever is
+    estimated to be less work."""
+    used, at = np.unique(np.concatenate([i, j]), return_inverse=True)
+    size = np.array([len(sets[k]) for k in used])
+    one_by_one = len(i) * 1.2e-5 + 8e-9 * float(size[at].sum())  # seconds
+    if one_by_one > 0.02 and size.max() < 1 << 24:  # counts are exact in single precision below that
+        total = _gram(np.repeat(np.arange(len(used)), size), np.concatenate([sets[k] for k in used]), len(used), one_by_one * 1e10)
+        if total is not None:
+            return total[at[: len(i)], at[len(i) :]].astype(np.int64)
+    return np.array([len(np.intersect1d(sets[a], sets[b], assume_unique=True)) for a, b in zip(i, j, strict=True)], np.int64)
+
+
 def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(cls, links, root): each set's links in a group, and the least class of what they connect."""
     for t in _groups(batches):
@@ -231,23 +283,27 @@ def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = t.take(pa.array(fresh))
         sets = [np.frombuffer(x, np.uint64) for x in t.column("set").to_pylist()]
         cls = t.column("cls").to_pylist()
-        links, up = np.zeros(t.num_rows, np.int64), list(range(t.num_rows))
-
-        def root(x: int, up: list[int] = up) -> int:
-            while up[x] != x:
-                up[x] = up[up[x]]
-                x = up[x]
-            return x
-
-        for i, j in zip(*_candidates(t), strict=True):
-            both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
-            if both >= SIMILARITY * (len(sets[i]) + len(sets[j]) - both) - 1e-9:
-                links[[i, j]] += 1
-                a, b = root(i), root(j)
-                if a != b:
-                    up[max(a, b, key=lambda x: cls[x])] = min(a, b, key=lambda x: cls[x])
+        i, j = _candidates(t)
+        if not len(i):
+            continue
+        size, both = np.array([len(x) for x in sets]), common(sets, i, j)
+        near = both >= SIMILARITY * (size[i] + size[j] - both) - 1e-9
+        i, j = i[near], j[near]
+        links = np.bincount(np.concatenate([i, j]), minlength=t.num_rows)
+        # the least class that each set is connected to: labels sink along links until none changes
+        rank = np.empty(t.num_rows, np.int64)
+        rank[sorted(range(t.num_rows), key=lambda k: cls[k])] = np.arange(t.num_rows)
+        by_rank = np.argsort(rank)
+        label, before = rank.copy(), None
+        while before is None or (label != before).any():
+            before = label.copy()
+            least = np.minimum(label[i], label[j])
+            np.minimum.at(label, i, least)
+            np.minimum.at(label, j, least)
+            label = np.minimum(label, label[by_rank[label]])
+        root = by_rank[label]
         rows = np.flatnonzero(links)
-        yield pa.RecordBatch.from_arrays([pa.array([cls[k] for k in rows], pa.binary()), pa.array(links[rows]), pa.array([cls[root(k)] for k in rows], pa.binary())], ["cls", "links", "root"])
+        yield pa.RecordBatch.from_arrays([pa.array([cls[k] for k in rows], pa.binary()), pa.array(links[rows]), pa.array([cls[root[k]] for k in rows], pa.binary())], ["cls", "links", "root"])
 
 
 def _sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -260,20 +316,20 @@ def _sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """(node, root): each node's least connected node. edges: a, b. Alternates large and small stars until nothing changes."""
+    """(node, root): each node's least connected node, for nodes that aren't it. edges: a, b. Alternates large and small
+    stars until all edges are stars: no node has two lesser neighbours, and none that others lead to leads on."""
     least = lambda rows: rows.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
     now = written(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "edges")
-    state = None
     while True:
+        ends = now.select(F.col("u").alias("x"), F.lit(1).alias("up"), F.lit(0).alias("down"))
+        ends = ends.union(now.select(F.col("v").alias("x"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+        if ends.groupBy("x").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where("up > 1 or (up = 1 and down = 1)").isEmpty():
+            return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
         both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = both.join(least(both), "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         small = large.join(least(large), "u")
         small = small.select("u", F.col("m").alias("v")).union(small.select(F.col("v").alias("u"), F.col("m").alias("v")))
-        now = written(small.where("u <> v").distinct(), "edges")
-        seen = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if seen == state:
-            return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
-        state = seen
+        now = written(small.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
 
 
 def _fetched(texts: DataFrame, wanted: DataFrame) -> DataFrame:
