@@ -78,6 +78,8 @@ class Program:
     # strict: cast member ids with ANSI cast (bad ids fail the job); else try_cast
     strict_id_cast: bool = True
     distributors: tuple[str, ...] | None = None     # optional filter on the cutoff order branch
+    # joins on phone and member: keys with more than this share of the rows are salted (None: only NULL keys are spread)
+    hot_key_share: float | None = None
     # published column names, by table ("group_two", "base", "performance") and column; others keep theirs
     names: Mapping[str, Mapping[str, str]] = field(default_factory=dict)
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from loyalflow.config import Program
 from loyalflow.functions import rollup_partner
+from loyalflow.operators.filters import key_filter, maybe_among
 
 SALES_TYPE = "decimal(28,2)"
 
@@ -72,11 +73,12 @@ def net_sales_by_partner(orders: DataFrame, program: Program) -> DataFrame:
             .agg(net_sales(program).alias("mbr_sales")))
 
 
-def _metric_lines(orders: DataFrame, program: Program) -> DataFrame:
+def metric_lines(orders: DataFrame, program: Program, also: list[Column] | None = None) -> DataFrame:
     eff = eff_line()
     belong = (eff & (F.col("is_member") == program.member_yes)
               & F.col("distributor_name").contains(program.channel_pattern))
     return rrp_lines(orders).select(
+        *(also or []),
         partner_col(program).alias("partner"),
         "crm_member_id",
         "original_order_id",
@@ -101,6 +103,25 @@ def _level_metrics(lines: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
+LINE_STATE = ("partner string, crm_member_id string, original_order_id string, _eff boolean, _in decimal(38,2), "
+              "_out decimal(38,2), _belong boolean, _belong_dt date")
+
+
+def condensed_lines(orders: DataFrame, program: Program, also: list[Column] | None = None) -> DataFrame:
+    """Order lines as a state that merges exactly (A4 purchase branch, A6-A9): LINE_STATE, after the columns ``also``.
+
+    One row for each (partner, member, effective order), and one with a NULL order for a group's other lines. States of
+    any parts of the lines, put together, give the levels' metrics that the lines themselves give: sums are decimals,
+    and an order that several parts hold is still one order.
+    """
+    lines = metric_lines(orders, program, also)
+    names = [c for c in lines.columns if not c.startswith("_") and c != "original_order_id"]
+    order = F.when(F.col("_eff"), F.col("original_order_id")).alias("original_order_id")
+    return lines.groupBy(*names, order, "_eff").agg(
+        F.sum("_in").cast("decimal(38,2)").alias("_in"), F.sum("_out").cast("decimal(38,2)").alias("_out"),
+        F.bool_or("_belong").alias("_belong"), F.min("_belong_dt").alias("_belong_dt"))
+
+
 def member_order_single_pass(orders: DataFrame, program: Program) -> DataFrame:
     """A4 (purchase branch), A6, A7, A8, A9: one aggregate per level instead of four.
 
@@ -110,7 +131,11 @@ def member_order_single_pass(orders: DataFrame, program: Program) -> DataFrame:
     an effective line exists: ``has_eff`` carries that presence and ``order_count`` is
     NULL without it, as in the separate grouped queries.
     """
-    lines = _metric_lines(orders, program)
+    return level_metrics(metric_lines(orders, program))
+
+
+def level_metrics(lines: DataFrame) -> DataFrame:
+    """Both levels of ``member_order_single_pass`` from its lines or from their state."""
     by_partner = _level_metrics(lines, ["partner", "crm_member_id"])
     by_member = _level_metrics(lines, ["crm_member_id"])
     by_partner = by_partner.withColumn("level", F.lit("partner"))
@@ -130,16 +155,26 @@ def member_order_single_pass(orders: DataFrame, program: Program) -> DataFrame:
 def last_order_ranked(orders: DataFrame, program: Program) -> DataFrame:
     """The last effective order per (partner, member).
 
-    ORDER BY paid time DESC with NULL as the largest value (a NULL paid time wins);
-    the order id breaks ties.  ``row_number() = 1`` plans a map-side partial top-1
-    before the shuffle.
+    ORDER BY paid time DESC with NULL as the largest value (a NULL paid time wins); the order id breaks ties.
+
+    Two phases, so that the lines are never sorted: a hash aggregate finds each key's last paid time in fixed-width
+    values; then only lines that a filter of these (key, time) pairs lets through are ranked, one row for each order.
+    The filter may let other lines through, but never drops one of the last time, so the ranking stays exact.
     """
-    cand = rrp_lines(orders).filter(eff_line() & F.col("crm_member_id").isNotNull()).select(
+    key = ["partner", "crm_member_id"]
+    lines = rrp_lines(orders).filter(eff_line() & F.col("crm_member_id").isNotNull()).select(
         partner_col(program).alias("partner"), "crm_member_id", "original_order_id", "order_paid_time")
-    w = Window.partitionBy("partner", "crm_member_id").orderBy(
-        F.col("order_paid_time").desc_nulls_first(), F.col("original_order_id").desc_nulls_last())
-    top = cand.withColumn("_rk", F.row_number().over(w)).filter(F.col("_rk") == 1)
-    return top.select("partner", "crm_member_id", "original_order_id", "order_paid_time")
+    unpaid = F.col("order_paid_time").isNull()
+    last = lines.groupBy(*key).agg(F.bool_or(unpaid).alias("_unpaid"), F.max("order_paid_time").alias("_time"))
+    last_time = [F.col("partner"), F.col("crm_member_id"), F.col("_unpaid"), F.when(~F.col("_unpaid"), F.col("_time"))]
+    tied = maybe_among(lines, [F.col("partner"), F.col("crm_member_id"), unpaid, F.col("order_paid_time")],
+                       key_filter(last, last_time))
+    per_order = tied.groupBy(*key, "original_order_id").agg(
+        F.bool_or(unpaid).alias("_unpaid"), F.max("order_paid_time").alias("_time"))
+    w = Window.partitionBy(*key).orderBy(
+        F.col("_unpaid").desc(), F.col("_time").desc(), F.col("original_order_id").desc_nulls_last())
+    top = per_order.withColumn("_rk", F.row_number().over(w)).filter(F.col("_rk") == 1)
+    return top.select(*key, "original_order_id", F.when(~F.col("_unpaid"), F.col("_time")).alias("order_paid_time"))
 
 
 def _listagg(c: Column) -> Column:
@@ -157,7 +192,8 @@ def last_order_details(orders: DataFrame, store: DataFrame, program: Program,
     member on that order gets a row too.  Instead of materialising the duplicated
     lines, each line carries the number ``m`` of winners it matches and the number
     ``c`` of store rows with its (code, name); sums are scaled by ``m * c``, MIN and
-    DISTINCT lists are unaffected.  Only lines of winning orders reach the aggregation.
+    DISTINCT lists are unaffected.  Only lines of winning orders reach the aggregation:
+    a fixed-size filter of the winners is applied at the scan, before the wide columns move.
     """
     if last_orders is None:
         last_orders = last_order_ranked(orders, program)
@@ -168,7 +204,8 @@ def last_order_details(orders: DataFrame, store: DataFrame, program: Program,
         "sku_id", "sku_name",
         sales_in(program).alias("_in"), sales_out(program).alias("_out"),
     )
-    hit = lines.join(winners, ["partner", "original_order_id"], "inner")
+    order = [F.col("partner"), F.col("original_order_id")]
+    hit = maybe_among(lines, order, key_filter(winners, order)).join(winners, ["partner", "original_order_id"], "inner")
     per_store = hit.groupBy("partner", "crm_member_id", "original_order_id", "original_store_code", "_m").agg(
         F.min("date_id").alias("date_id"),
         _listagg(F.col("sku_id")).alias("sku_id"),

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from loyalflow.config import Program
 from loyalflow.functions import flag, int_id, rollup_partner
 from loyalflow.operators.identity import phone_members
-from loyalflow.operators.joins import left_join_spread_nulls
+from loyalflow.operators.joins import left_join_spread
 from loyalflow.operators.lists import BASE_COLUMNS, historical_base
 from loyalflow.sources import Sources
 
@@ -30,15 +30,15 @@ def historical_base_flags(src: Sources, program: Program, group_two: DataFrame,
     whose members disagree on a flag keeps one row per flag combination.
 
     Rows without an encrypted phone or member cannot match; their NULL keys are spread
-    over the shuffle instead of landing in one partition (``left_join_spread_nulls``).
+    over the shuffle instead of landing in one partition, and so are heavy phones and members with ``Program.hot_key_share``.
     """
-    strict = program.strict_id_cast
+    strict, hot = program.strict_id_cast, program.hot_key_share
     if base is None:
         base = historical_base(src.lists, program)
     spread = ["phone", "partner"]
     enc = src.encrypt_phone.select(F.col("phone"), "encrypt_phone")
     base = base.distinct()  # as the result is; folds the rows without a phone that are alike
-    with_enc = left_join_spread_nulls(base, enc, ["phone"], spread=[c for c in base.columns if c != "phone"])
+    with_enc = left_join_spread(base, enc, ["phone"], [c for c in base.columns if c != "phone"], hot)
 
     by_partner = group_two.select(
         int_id("member_detail_id", strict).alias("_mid"),
@@ -48,10 +48,10 @@ def historical_base_flags(src: Sources, program: Program, group_two: DataFrame,
         .withColumn("_ttl", F.lit(True))
 
     members = phone_members(src.crm_member_phone)
-    resolved = left_join_spread_nulls(with_enc, members, ["encrypt_phone"], spread) \
+    resolved = left_join_spread(with_enc, members, ["encrypt_phone"], spread, hot) \
         .withColumn("_mid", int_id("phone_member_id", strict))
-    flagged = left_join_spread_nulls(resolved, by_partner, ["_mid", "partner"], spread)
-    flagged = left_join_spread_nulls(flagged, total, ["_mid"], spread)
+    flagged = left_join_spread(resolved, by_partner, ["_mid", "partner"], spread, hot)
+    flagged = left_join_spread(flagged, total, ["_mid"], spread, hot)
     return flagged.select(
         *BASE_COLUMNS, "encrypt_phone",
         flag(F.col("_g2").isNotNull()).alias("if_not_belong_nor_wecom_by_partner"),

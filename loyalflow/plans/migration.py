@@ -12,7 +12,7 @@ Shape of the plan:
   on (int member id, partner).
 
 Rows that cannot match (no encrypted phone, or no member behind it) keep NULL keys;
-their rows are spread over the shuffle by ``left_join_spread_nulls`` instead of piling
+their rows are spread over the shuffle by ``left_join_spread`` instead of piling
 into one partition.  Every join is LEFT, so every base row survives.
 """
 
@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from loyalflow.config import Program, RunContext
 from loyalflow.functions import batch_date, flag, int_id, pad_id
 from loyalflow.operators.identity import phone_members
-from loyalflow.operators.joins import left_join_spread_nulls
+from loyalflow.operators.joins import left_join_spread
 from loyalflow.operators.membership import reg_belong_rows
 from loyalflow.operators.orders import (
     SALES_TYPE,
@@ -178,11 +178,11 @@ def resolved_profile(src: Sources, program: Program, base: DataFrame, overall: D
     overall = overall.select(
         int_id("member_detail_id", strict).alias("_mid"), "belong_to_chn_dt").withColumn("_mb", F.lit(True))
     spread = ["phone", "partner"]
-    members = phone_members(src.crm_member_phone)
-    wide = left_join_spread_nulls(base, members, ["encrypt_phone"], spread) \
+    members, hot = phone_members(src.crm_member_phone), program.hot_key_share
+    wide = left_join_spread(base, members, ["encrypt_phone"], spread, hot) \
         .withColumn("_mid", int_id("phone_member_id", strict))
-    wide = left_join_spread_nulls(wide, [mbr, overall], ["_mid"], spread)
-    return left_join_spread_nulls(wide, by_partner, ["_mid", "partner"], spread)
+    wide = left_join_spread(wide, [mbr, overall], ["_mid"], spread, hot)
+    return left_join_spread(wide, by_partner, ["_mid", "partner"], spread, hot)
 
 
 def profile_columns(program: Program) -> list[Column]:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,11 +13,12 @@ from pyspark.sql import functions as F
 from loyalflow.config import FIXTURE_PROGRAM, RunContext
 from loyalflow.functions import flag, int_id, pad_id, rollup_partner
 from loyalflow.operators import identity, lists, membership, orders, wecom
-from loyalflow.plans import migration
+from loyalflow.operators.joins import left_join_spread_hot
+from loyalflow.plans import daily_state, migration, publish
 from loyalflow.plans.cutoff_group import cutoff_group
 from loyalflow.plans.historical_base import historical_base_flags
 from loyalflow.plans.migration import K3_COLUMNS, migration_performance
-from loyalflow.sources import Sources
+from loyalflow.sources import Sources, layout, rejects, snapshots
 from loyalflow.sources.fixtures import fixture_sources
 
 P = FIXTURE_PROGRAM
@@ -191,6 +194,78 @@ def publish_batch_stamp(spark, root):
     return k3.groupBy("dl_batch_date", "dl_load_time").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+def published_performance(spark, root):
+    """K1 -> K2 -> K3 through tables, checked and published; then the table that a reader finds."""
+    folder = publish.work_folder(spark, "publish")
+    publish.publish(spark, _src(spark, root), P, RUN, folder)
+    return publish.current(spark, folder, P)
+
+
+#: Days whose first load lacks lines, and that are applied again: from this one on.
+RESTATED_FROM = dt.date(2000, 1, 1)
+#: Run dates of the backfill.
+BACKFILL = [dt.date(1996 + m // 12, 1 + m % 12, 1) for m in range(30)]
+
+
+def daily_state_refresh(spark, root):
+    """A first load in which late days lack their returns, then those days restated, one part of them after the other."""
+    orders, folder = _src(spark, root).orders, publish.work_folder(spark, "daily-state")
+    days = [RESTATED_FROM + dt.timedelta(days=k) for k in range(240)]
+    late = F.coalesce(F.to_date("date_id").between(F.lit(days[0]), F.lit(days[-1])), F.lit(False))
+    daily_state.apply_days(spark, orders.filter(~late | (F.col("sales_qty") > 0)), P, folder)
+    for some in (days[:80], days[80:]):
+        daily_state.apply_days(spark, orders, P, folder, some)
+    return daily_state.metrics(spark, folder).drop("has_eff", "has_belong")
+
+
+def metrics_backfill(spark, root):
+    """Order metrics as of 30 run dates, from one read of the fact."""
+    folder = publish.work_folder(spark, "backfill")
+    daily_state.apply_days(spark, _src(spark, root).orders, P, folder)
+    return daily_state.metrics_as_of(daily_state.read_state(spark, folder), BACKFILL)
+
+
+def rejected_ids(spark, root):
+    """Phone rows of which some have a malformed member id: the side table of what a run leaves out."""
+    rows = _src(spark, root).crm_member_phone
+    k = F.col("member_detail_id").cast("int")
+    made = F.when(k % 40 == 0, F.concat(F.lit("x"), "member_detail_id")).when(k % 41 == 0, F.concat("member_detail_id", F.lit("99999")))
+    rows = rows.withColumn("member_detail_id", F.coalesce(made, "member_detail_id"))
+    return rejects.screen(rows, "crm_member_phone", "member_detail_id", publish.work_folder(spark, "rejects"), most=0.1).rejects
+
+
+def cutoff_group_dated(spark, root):
+    """K1 from dated snapshots: an older one with fewer members, the one that counts, and one after the run date."""
+    src, folder = _src(spark, root), publish.work_folder(spark, "snapshots")
+    taken = []
+    for k, snap in enumerate(src.wecom_snapshots):
+        day, member = RUN.run_date, snap.columns[1]
+        for when, rows in ((day - dt.timedelta(days=9), snap.filter(F.xxhash64(member) % 2 == 0)), (day, snap), (day + dt.timedelta(days=1), snap.limit(0))):
+            snapshots.write_snapshot(rows, folder, f"wecom_{k}", when)
+        taken.append(snapshots.latest_snapshot(spark, folder, f"wecom_{k}", day, snap.columns))
+    return cutoff_group(replace(src, wecom_snapshots=taken), P)
+
+
+def hot_phone_identity(spark, root):
+    """J11, J12 where a third of all list rows have the same phone: rows and matches of each partner."""
+    src = _src(spark, root)
+    base = lists.historical_base(src.lists, P).select("partner", "phone", "historical_city")
+    third = F.pmod(F.right("phone", F.lit(7)).cast("int"), F.lit(3)) == 0
+    base = base.withColumn("own", F.col("phone")).withColumn("phone", F.when(third, F.lit("13000000007")).otherwise(F.col("phone")))
+    coded = left_join_spread_hot(base, src.encrypt_phone, ["phone"], ["own", "partner"])
+    known = left_join_spread_hot(coded, identity.phone_members(src.crm_member_phone), ["encrypt_phone"], ["own", "partner"])
+    return known.groupBy("partner").agg(F.count(F.lit(1)).alias("n_rows"), F.count("encrypt_phone").alias("n_encrypted"), F.count("phone_member_id").alias("n_members"))
+
+
+def member_orders_bucketed(spark, root):
+    """The order metrics from the fact as it is laid out for them: by member and month."""
+    folder = publish.work_folder(spark, "layout")
+    name = folder.rsplit("-", 1)[1]
+    to = layout.Layout(f"lines_{name}", f"heavy_lines_{name}")
+    layout.write_layout(_src(spark, root).orders, to, folder, buckets=8)
+    return layout.metrics(spark, to, P).drop("has_eff", "has_belong")
+
+
 QUERIES: dict[str, QueryFn] = {
     "partner_rollup_cutoff_reg": partner_rollup_cutoff_reg,
     "partner_rollup_cutoff_order": partner_rollup_cutoff_order,
@@ -223,4 +298,11 @@ QUERIES: dict[str, QueryFn] = {
     "member_profile_flags": member_profile_flags,
     "migration_performance": migration_performance_q,
     "publish_batch_stamp": publish_batch_stamp,
+    "published_performance": published_performance,
+    "daily_state_refresh": daily_state_refresh,
+    "metrics_backfill": metrics_backfill,
+    "rejected_ids": rejected_ids,
+    "cutoff_group_dated": cutoff_group_dated,
+    "hot_phone_identity": hot_phone_identity,
+    "member_orders_bucketed": member_orders_bucketed,
 }
