@@ -35,9 +35,11 @@ class Codes:
     turn: np.ndarray  # (dimensions + 1, BITS)
     norm: float
     radius: int
+    scale: float = 1.0  # the largest component of all: squares of what is divided by it are finite
 
     def of(self, x: np.ndarray, query: bool = False) -> np.ndarray:
         """Codes as rows of bytes. A query is lengthened by 0, which keeps its order of inner products."""
+        x = x / (np.abs(x).max(axis=1, keepdims=True) if query else self.scale)  # a query's length doesn't matter
         size = np.sqrt((x * x).sum(axis=1))
         if query:
             long = np.column_stack([x / size[:, None] * self.norm, np.zeros(len(x))])
@@ -52,8 +54,9 @@ def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.bitwise_count(wide(a)[:, None, :] ^ wide(b)[None, :, :]).sum(axis=2, dtype=np.int16)
 
 
-def fit(x: np.ndarray, norm: float, seed: int = 7) -> Codes:
-    """From a sample of vectors and the largest norm of all."""
+def fit(x: np.ndarray, norm: float, scale: float = 1.0, seed: int = 7) -> Codes:
+    """From a sample of vectors, the largest component of all, and the largest norm of all after division by it."""
+    whole, x = x, x / scale
     rng = np.random.default_rng(seed)
     long = np.column_stack([x, np.sqrt(np.maximum(0, norm**2 - (x * x).sum(axis=1)))])
     centre = long.mean(axis=0)
@@ -69,11 +72,12 @@ def fit(x: np.ndarray, norm: float, seed: int = 7) -> Codes:
             turn = (u @ v).T
         turns.append(axes[:, :n] @ turn)
         left -= n
-    codes = Codes(centre, np.column_stack(turns), norm, BITS)
+    codes = Codes(centre, np.column_stack(turns), norm, BITS, scale)
     ask = x[:: max(1, len(x) // 500)][:500]
+    ask = ask[(ask != 0).any(axis=1)]  # beside far larger ones, a vector may vanish
     products = ask @ x.T
     own = products >= np.sort(products, axis=1)[:, -min(K + 1, len(x))][:, None]
-    codes.radius = int(np.quantile(distances(codes.of(ask, True), codes.of(x))[own], WITHIN))
+    codes.radius = int(np.quantile(distances(codes.of(ask, True), codes.of(whole))[own], WITHIN))
     return codes
 
 
@@ -139,8 +143,9 @@ def nearest(vectors: DataFrame, every: int = 20) -> DataFrame:
     sizes = np.bincount([len(v) for v in sample.column("x").to_pylist()])
     d = int(sizes.argmax())
     rows = rows.where(F.size("x") == d)
-    n, asks, norm = rows.agg(F.count(F.lit(1)), F.count_if(F.col("vec_id") % every == 0), F.max(F.sqrt(F.aggregate("x", F.lit(0.0), lambda s, v: s + v * v)))).first()
-    codes = fit(np.array([v for v in sample.column("x").to_pylist() if len(v) == d]), norm)
+    n, asks, scale = rows.agg(F.count(F.lit(1)), F.count_if(F.col("vec_id") % every == 0), F.max(F.array_max(F.transform("x", F.abs)))).first()
+    norm = rows.agg(F.max(F.sqrt(F.aggregate("x", F.lit(0.0), lambda s, v: s + (v / scale) * (v / scale))))).first()[0]
+    codes = fit(np.array([v for v in sample.column("x").to_pylist() if len(v) == d]), norm, scale)
     index_blocks, query_blocks = -(-n // INDEX_BLOCK), max(1, -(-asks // QUERY_BLOCK))
     mine = lambda blocks, seed: F.pmod(F.xxhash64("vec_id", F.lit(seed)), F.lit(blocks)).cast("int")
     all_of = lambda blocks: F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))

@@ -5,6 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,6 +14,7 @@ from pyspark.sql import functions as F
 
 _LOCAL: dict[str, str] = {}
 _SHIPPED: set[str] = set()
+_OWNERS: list[list[str]] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -28,7 +31,27 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/llm-{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/llm-{name}-{uuid.uuid4().hex}"
+    if _OWNERS:
+        _OWNERS[-1].append(path)
+    return path
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Scratch tables made within go when it ends: what reads them must have been written by then, outside of it."""
+    _OWNERS.append([])
+    try:
+        yield
+    finally:
+        for path in _OWNERS.pop():
+            remove(spark, path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a table's folder, through Spark's own file system."""
+    there = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    there.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(there, True)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

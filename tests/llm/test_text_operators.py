@@ -287,8 +287,53 @@ def test_many_languages_share_one_filter(spark):
     assert all(r["lang_pred"] == f"l{r['doc_id'] % 12:02}" for r in language_id.identify(train, model).collect())
 
 
+def test_filter_masks_are_those_of_exact_sets(spark):
+    """Every language that holds an n-gram is in its mask, others are there as often as ``false`` says, and the corrected counts
+    are near the exact ones."""
+    rng = np.random.default_rng(2)
+    own = [rng.integers(0, 1 << 63, 30_000).astype(np.uint64) for _ in range(11)]
+    own[1] = np.concatenate([own[1], own[0][:500]])
+    slots = np.zeros((1 << language_id.SLOT_BITS, 2), np.uint8)
+    for i, grams in enumerate(own):
+        for s in language_id._slots(grams):
+            slots[s, i // 8] |= np.uint8(1 << i % 8)
+    fill = np.array([(slots[:, i // 8] >> (i % 8) & 1).mean() for i in range(len(own))])
+
+    def has(grams, i):
+        a, *more = language_id._slots(grams)
+        mask = slots[a]
+        for s in more:
+            mask = mask & slots[s]
+        return (mask[:, i // 8] >> (i % 8)) & 1
+
+    for i, grams in enumerate(own):
+        assert has(grams, i).all()
+        other = rng.integers(0, 1 << 63, 200_000).astype(np.uint64)
+        expect = fill[i] ** language_id.HASHES
+        assert abs(has(other, i).mean() - expect) < 5 * math.sqrt(expect / 200_000) + 1e-4
+    assert has(own[0][:500], 1).all()
+
+
+def test_language_of_held_out_documents(spark):
+    sf_dir = "/root/testdata/sf0.01"
+    got = language_id.op4_language_id(spark, sf_dir).where("held_out").join(spark.read.parquet(f"{sf_dir}/documents.parquet"), "doc_id")
+    rows = got.where("lang is not null and lang_pred <> 'und'").select("lang", "lang_pred").collect()
+    assert len(rows) > 100 and sum(r["lang"] == r["lang_pred"] for r in rows) >= 0.98 * len(rows)
+
+
 # ---- toxicity
 
+def test_toxicity_of_held_out_documents(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    half = F.crc32(F.concat(F.lit("half:"), F.col("doc_id").cast("string"))) % 2
+    model = toxicity.fit(docs, labels.where(half == 0))
+    rest = labels.where(half == 1).select("doc_id", F.col("toxic").alias("label"))
+    rows = toxicity.grade(docs, model).join(rest, "doc_id").select("label", "toxic").collect()
+    found, clean = [r["toxic"] for r in rows if r["label"]], [r["toxic"] for r in rows if not r["label"]]
+    print("held out: toxic found", sum(found), "of", len(found), "clean rejected", sum(clean), "of", len(clean))
+    assert len(found) > 150 and sum(found) >= 0.85 * len(found) and sum(clean) <= 0.01 * len(clean)
+
+
 def test_toxicity_learns_and_takes_odd_rows(spark, docs, no_docs):
     rng = np.random.default_rng(2)
     clean = [" ".join(f"w{x}" for x in rng.integers(0, 300, 40)) for _ in range(200)]

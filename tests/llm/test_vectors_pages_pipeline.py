@@ -40,6 +40,18 @@ def test_nearest_recall_and_ties(spark):
     assert got[2000] == want[2000]
 
 
+def test_huge_components_take_part(spark):
+    rng = np.random.default_rng(6)
+    vectors = [(i, [float(x) for x in v]) for i, v in enumerate(rng.standard_normal((60, 4)))] + [(100, [1e200, 1.0, 0.0, 0.0]), (101, [1e160, -1e100, 1e-300, 0.0])]
+    got = {}
+    for r in hashed_neighbours.nearest(spark.createDataFrame(vectors, "vec_id long, embedding array<double>")).orderBy("query_id", "rank").collect():
+        got.setdefault(r["query_id"], []).append(r["vec_id"])
+    with np.errstate(over="ignore"):
+        want = brute(vectors)
+    assert got.keys() == want.keys() and all(len(v) == 20 for v in got.values())
+    assert got[100][:1] == want[100][:1] and np.mean([len({*got[q]} & {*want[q]}) / 20 for q in want]) >= 0.9
+
+
 def test_few_and_no_vectors(spark):
     few = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.5, 0.5]), (20, [-1.0, 0.0])], "vec_id long, embedding array<float>")
     got = sorted(map(tuple, hashed_neighbours.nearest(few).collect()))
