@@ -1,7 +1,7 @@
 """From raw documents to tokens: the stages of a training corpus, each on all rows that the one before it kept.
 
 ``run`` writes each stage's rows as Parquet in the shared folder and reads them again for the next one, so a lost executor
-costs at most the unfinished tasks of one stage. All stages but the last return the columns of ``documents``.
+costs at most the unfinished tasks of one stage; a stage's scratch tables, and the stage before it, go when it is written. All stages but the last return the columns of ``documents``.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from loyalflow.llm import bpe, exact_dedup, jaccard_join, source_mixing, toxicity
-from loyalflow.llm.shared import ship, written
+from loyalflow.llm.shared import remove, scratch, scratch_path, ship
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -58,7 +58,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), f"stage-{name}")
+        path = scratch_path(spark, f"stage-{name}")
+        with scratch(spark):  # a stage's own tables go with it
+            out = stage(spark, docs, sf_dir)
+            out.write.parquet(path)
+        docs = spark.read.schema(out.schema).parquet(path)
+        if before:
+            remove(spark, before)
+        before = path
     return docs
