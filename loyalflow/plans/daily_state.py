@@ -1,9 +1,11 @@
 """Order metrics from a state by day: a refresh reads only the days that changed.
 
-The state holds each day's order lines condensed to one row for each (partner, member, order), in a folder for each day. Applying
-days reads the fact's lines of those days alone, writes them as a new version, and then points the days to it with one
-numbered manifest, as ``plans.publish`` does. A restated day thus replaces what it was before, and a refresh that dies
-changes nothing. The metrics are the same aggregates over the state as over the lines, so they are equal bit for bit.
+The state holds order lines condensed to one row for each (day, partner, member, order). Applying days reads the fact's lines of
+those days alone, writes them as a new version, and then points the days to it with one numbered manifest, as
+``plans.publish`` does. A restated day thus replaces what it was before, and a refresh that dies changes nothing. The
+metrics are the same aggregates over the state as over the lines, so they are equal bit for bit. A version holds as many
+files as its rows need, whatever the number of days; rows of a day that a later version holds are left out by a
+broadcast of (day, version), one row for each day.
 
 The same state answers for many run dates at once: ``metrics_as_of`` adds up days, and joins dates to the sums.
 """
@@ -22,12 +24,12 @@ from loyalflow.config import Program
 from loyalflow.operators.orders import LINE_STATE, SALES_TYPE, condensed_lines, level_metrics
 from loyalflow.plans.publish import Store
 
-#: The folder of lines without a date.
+#: The day of lines without a date, in manifests.
 UNDATED = "undated"
 
 
-def applied_days(spark: SparkSession, root: str) -> dict[str, str | None]:
-    """The version of each applied day, by ISO date; None for a day without lines."""
+def applied_days(spark: SparkSession, root: str) -> dict[str, str]:
+    """The version that holds each applied day's lines, by ISO date."""
     store = Store(spark, root)
     last = [n for n in store.names("manifests") if n.endswith(".json")][-1:]
     return json.loads(store.read(f"manifests/{last[0]}")) if last else {}
@@ -45,26 +47,29 @@ def apply_days(spark: SparkSession, orders: DataFrame, program: Program, root: s
         wanted = F.to_date("date_id").isin(dated) if dated else F.lit(False)
         orders = orders.filter(wanted | F.col("date_id").isNull() if None in days else wanted)
     version = uuid.uuid4().hex
-    day = F.coalesce(F.date_format("date_id", "yyyy-MM-dd"), F.lit(UNDATED))
-    state = condensed_lines(orders, program, [day.alias("day")])
-    state.repartition("day", F.pmod(F.xxhash64("crm_member_id"), F.lit(16))).write.partitionBy("day").parquet(f"{store.root}/state/version={version}")
-    found = [n.removeprefix("day=") for n in store.names(f"state/version={version}") if n.startswith("day=")]
+    condensed_lines(orders, program, [F.to_date("date_id").alias("day")]).write.parquet(f"{store.root}/state/version={version}")
+    found = [UNDATED if r["day"] is None else r["day"].isoformat() for r in _rows(spark, store.root, [version]).select("day").distinct().collect()]
     named = found if days is None else [UNDATED if d is None else d.isoformat() for d in days]
-    after = (before if days is not None else {}) | {d: version if d in found else None for d in named}
+    after = (before if days is not None else {}) | {d: version for d in named}
     if not store.create(f"manifests/{number:08d}.json", json.dumps(after)):
         raise RuntimeError("another refresh was applied meanwhile; apply the days again")
-    return found
+    return sorted(found)
+
+
+def _rows(spark: SparkSession, root: str, versions: list[str]) -> DataFrame:
+    schema = f"day date, {LINE_STATE}, version string"
+    return spark.read.schema(schema).option("basePath", f"{root}/state").parquet(*(f"{root}/state/version={v}" for v in versions))
 
 
 def read_state(spark: SparkSession, root: str) -> DataFrame:
-    """LINE_STATE and ``day`` (null for lines without a date) of the applied days, as one scan of their folders."""
-    root = root.rstrip("/")
-    paths = [f"{root}/state/version={v}/day={d}" for d, v in sorted(applied_days(spark, root).items()) if v]
-    columns = [c.split()[0] for c in LINE_STATE.split(", ")]
-    if not paths:
-        return spark.createDataFrame([], f"{LINE_STATE}, day date")
-    rows = spark.read.schema(f"{LINE_STATE}, version string, day string").option("basePath", f"{root}/state").parquet(*paths)
-    return rows.select(*columns, F.when(F.col("day") != UNDATED, F.col("day")).cast("date").alias("day"))
+    """LINE_STATE and ``day`` (null for lines without a date) of the applied days."""
+    root, applied = root.rstrip("/"), applied_days(spark, root)
+    if not applied:
+        return spark.createDataFrame([], f"day date, {LINE_STATE}")
+    live = spark.createDataFrame([(None if d == UNDATED else dt.date.fromisoformat(d), v) for d, v in applied.items()], "_day date, _version string")
+    rows = _rows(spark, root, sorted(set(applied.values())))
+    held = F.col("day").eqNullSafe(F.col("_day")) & (F.col("version") == F.col("_version"))
+    return rows.join(F.broadcast(live), held, "left_semi").drop("version")
 
 
 def metrics(spark: SparkSession, root: str) -> DataFrame:

@@ -229,7 +229,7 @@ def rejected_ids(spark, root):
     """Phone rows of which some have a malformed member id: the side table of what a run leaves out."""
     rows = _src(spark, root).crm_member_phone
     k = F.col("member_detail_id").cast("int")
-    made = F.when(k % 40 == 0, F.concat(F.lit("x"), "member_detail_id")).when(k % 41 == 0, F.concat("member_detail_id", F.lit("99999")))
+    made = F.when(k % 40 == 0, F.concat(F.lit("x"), "member_detail_id")).when(k % 41 == 0, F.concat("member_detail_id", F.lit("9999999999")))
     rows = rows.withColumn("member_detail_id", F.coalesce(made, "member_detail_id"))
     return rejects.screen(rows, "crm_member_phone", "member_detail_id", publish.work_folder(spark, "rejects"), most=0.1).rejects
 
