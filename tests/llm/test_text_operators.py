@@ -125,6 +125,44 @@ def test_tree_merge_of_a_hot_digest_takes_the_best(spark):
     assert max(got, key=lambda r: r["n"])["best"] == 0
 
 
+@pytest.mark.parametrize("runs", [1, 3, 40])
+def test_blocks_of_sorted_runs_merge_as_one_sort_would(runs, monkeypatch):
+    """Keys that end in zero bytes or are in every run, unknown identifiers, and more open blocks than are merged at once."""
+    monkeypatch.setattr(exact_dedup, "BLOCK", 8)
+    rng, blocks, want = np.random.default_rng(runs), [], {}
+    for _ in range(runs):
+        run = np.zeros(200, exact_dedup.RECORD)
+        run["key"] = [bytes(rng.integers(0, 3, 2, np.uint8)) + b"\xff" * int(k) for k in rng.integers(0, 40, 200)]
+        run["known"] = rng.integers(0, 2, 200)
+        run["best"] = np.where(run["known"], rng.integers(-9, 9, 200), exact_dedup.WORST)
+        run["n"] = rng.integers(1, 5, 200)
+        for key, known, best, n in run.tolist():
+            have = want.get(key, (0, exact_dedup.WORST, 0))
+            want[key] = (max(have[0], known), min(have[1], best), have[2] + n)
+        run = exact_dedup.merge_runs([np.sort(run, order="key")])
+        blocks += [exact_dedup._unpack(exact_dedup._pack(run[a : a + 8])) for a in range(0, len(run), 8)]
+    blocks.sort(key=lambda b: b["key"][0])
+    got = [x for piece in exact_dedup.merge_blocks(iter(blocks)) for x in piece.tolist()]
+    assert [(k, *want[k]) for k in sorted(want)] == got
+
+
+def test_tree_merge_fills_its_slots_evenly(spark):
+    """One slot a task, and no more slots than the fan needs for the asked number."""
+    many = spark.range(0, 20_000, 1, 5).selectExpr("cast(unhex(sha2(cast(id as string), 256)) as binary) sha", "cast('checked_' as binary) check", "id n_bytes", "nullif(id, 7) best", "1L n")
+    merged = exact_dedup.tree_merge(many, 30)
+    got = merged.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n"), F.sum(F.col("best").isNull().cast("int")).alias("unknown")).collect()
+    assert len(got) == 36 and sum(r["n"] for r in got) == 20_000 and sum(r["unknown"] for r in got) == 1
+    assert max(r["n"] for r in got) < 1.3 * 20_000 / 36
+    assert merged.where("n_bytes <> best or check <> cast('checked_' as binary)").count() == 0
+
+
+def test_exact_dedup_takes_the_largest_and_least_identifiers(spark):
+    ends = [(-(2**63), "a"), (2**63 - 1, "A"), (-(2**63), "b"), (None, "b")]
+    docs = spark.createDataFrame(ends, "doc_id long, text string")
+    assert rows(exact_dedup.drop_duplicates(docs), "doc_id", "text") == [(-(2**63), "b"), (2**63 - 1, "A")]
+    assert {r["keep_id"] for r in exact_dedup.exact_duplicates(docs, "smallest").collect()} == {-(2**63)}
+
+
 # ---- Jaccard join
 
 def brute_links(texts):
