@@ -8,7 +8,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from loyalflow.llm import bpe, exact_dedup, jaccard_join, language_id, license_scan, lm_scoring, source_mixing, toxicity
+from loyalflow.llm import bpe, exact_dedup, jaccard_join, language_id, license_scan, lm_scoring, lm_tables, source_mixing, toxicity
 from loyalflow.llm.shared import spread_join
 from loyalflow.llm.words import words
 from tests.llm.conftest import SCHEMA, TEXTS
@@ -271,6 +271,17 @@ def test_components_join_long_chains(spark):
 
 # ---- LM scoring
 
+def test_lm_scores_by_joined_tables_are_those_of_packed_requests(spark, docs, no_docs):
+    """Of odd and of repeated rows, and with a third of all texts the same two words."""
+    names = ("doc_id", "n_words", "log_score", "mean_log_score")
+    texts = near_texts()[:120] + ["one two", "Two ONE", "one two three one two"] * 40
+    for table in (docs, spark.createDataFrame([(i // 2 if i % 7 else None, t) for i, t in enumerate(texts)], "doc_id long, text string")):
+        got, want = (sorted((tuple(r) for r in df.select(*names).collect()), key=lambda r: (r[0] is None, r[0], r[1], r[2])) for df in (lm_tables.lm_scores_joined(table), lm_scoring.lm_scores(table)))
+        assert len(got) == len(want) and [r[:2] for r in got] == [r[:2] for r in want]
+        assert all(a[2:] == pytest.approx(b[2:], abs=2e-6) for a, b in zip(got, want))
+    assert lm_tables.lm_scores_joined(no_docs).count() == 0
+
+
 def test_lm_scores_agree_with_plain_counting(spark, docs, no_docs):
     texts = [t for _, t, *_ in TEXTS]
     ws = [split(t) for t in texts]
