@@ -155,6 +155,29 @@ def test_bucketed_lines_need_no_exchange(spark, small_src, plain_joins):
             spark.sql(f"DROP TABLE IF EXISTS {t}")
 
 
+def test_a_longer_fact_has_more_buckets_not_larger_ones(spark, plain_joins):
+    to = layout.Layout("t_long_lines", "t_long_heavy_lines")
+    for members, buckets in ((60, 4), (300, 16)):
+        made = [line(str(m), "CHN D (D1)" if k % 2 else None, f"o{m}-{k // 2}", None, "1", "1.00") for m in range(members) for k in range(20)]
+        if members == 300:  # 'big' has 4 % of the lines: less than the share given, more than half a bucket
+            made += [line("big", "CHN D (D1)", f"o{k}", None, "1", "1.00") for k in range(250)]
+            made += [line(None, "CHN D (D1)", f"n{k}", None, "1", "1.00") for k in range(50)]
+        fact = spark.createDataFrame(made, SCHEMA)
+        layout.write_layout(fact, to, tempfile.mkdtemp(prefix="loyalflow-layout-"), buckets=4, heavy_share=0.05, bucket_lines=400)
+        try:
+            plan = O.level_metrics(O.metric_lines(spark.table(to.bucketed), P))._jdf.queryExecution().executedPlan().toString()
+            assert "Exchange" not in plan and f"SelectedBucketsCount: {buckets} out of {buckets}" in plan
+            bucket = F.regexp_extract(F.input_file_name(), r"_(\d{5})\.", 1)
+            assert max(r["n"] for r in spark.table(to.bucketed).groupBy(bucket).agg(F.count("*").alias("n")).collect()) < 2 * 400
+            apart = {r[0] for r in spark.table(to.heavy).select("crm_member_id").distinct().collect()}
+            assert apart == ({None, "big"} if members == 300 else set())
+            want = O.member_order_single_pass(fact, P)
+            assert rows(layout.metrics(spark, to, P).select(*want.columns)) == rows(want)
+        finally:
+            for t in (to.bucketed, to.heavy):
+                spark.sql(f"DROP TABLE IF EXISTS {t}")
+
+
 # ---- rejects
 
 def test_malformed_ids_are_listed_and_counted_in_one_pass(spark):
