@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import datetime as dt
+import os
 import re
 import tempfile
+import time
 from dataclasses import replace
 
 import pytest
@@ -178,6 +180,54 @@ def test_a_longer_fact_has_more_buckets_not_larger_ones(spark, plain_joins):
                 spark.sql(f"DROP TABLE IF EXISTS {t}")
 
 
+def shuffle_files(spark):
+    found = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {found.apply(k).getPath() for k in range(found.size()) if found.apply(k).getName().startswith("shuffle_")}
+
+
+def test_a_long_fact_is_written_in_rounds_that_leave_no_shuffle_files(spark, small_src, monkeypatch):
+    folder, to = tempfile.mkdtemp(prefix="loyalflow-layout-"), layout.Layout("t_round_lines", "t_round_heavy_lines")
+    more = [line(m, "CHN D (D1)", o, None, "1", "1.00") for m, o in [("big", "o1"), ("big", "o2"), ("7", None), (None, "o3"), (None, None)] for _ in range(300)]
+    fact = small_src.orders.unionByName(spark.createDataFrame(more, SCHEMA))
+    before, left, remove = shuffle_files(spark), [], layout._remove
+
+    def removed(spark, path):
+        remove(spark, path)
+        left.append(sorted(os.listdir(f"{folder}/{to.bucketed}_staged")) if "=" in path else [])
+
+    monkeypatch.setattr(layout, "_remove", removed)
+    try:
+        layout.write_layout(fact, to, folder, buckets=4, heavy_share=0.03, round_lines=1)
+        for _ in range(40):  # they go in the background
+            if shuffle_files(spark) <= before:
+                break
+            time.sleep(0.5)
+        assert shuffle_files(spark) <= before
+        assert [sum("=" in x for x in names) for names in left] == [7, 6, 5, 4, 3, 2, 1, 0, 0]
+        assert not os.path.exists(f"{folder}/{to.bucketed}_staged")
+        assert spark.conf.get(layout.SHUFFLES_GO) == "false"
+        both = spark.table(to.bucketed).unionByName(spark.table(to.heavy)).select(*fact.columns)
+        assert rows(both) == rows(fact)
+        assert {None, "big"} <= {r[0] for r in spark.table(to.heavy).select("crm_member_id").distinct().collect()}
+        file = F.input_file_name()
+        files = spark.table(to.bucketed).select("month", F.regexp_extract(file, r"_(\d{5})\.", 1).alias("b"), file.alias("f")).distinct()
+        assert files.count() == files.select("month", "b").distinct().count() and files.select("b").distinct().count() == 8
+        want = O.member_order_single_pass(fact, P)
+        assert rows(layout.metrics(spark, to, P).select(*want.columns)) == rows(want)
+    finally:
+        for t in (to.bucketed, to.heavy):
+            spark.sql(f"DROP TABLE IF EXISTS {t}")
+
+
+def test_a_round_shuffles_its_own_orders_only(spark, small_src, plain_joins):
+    plan = small_src.orders.filter(layout.round_of_order() == 3)._jdf.queryExecution().executedPlan().toString()
+    for key in ("l_orderkey", "o_orderkey"):
+        scan = plan.index(f"FileScan parquet [{key}")
+        assert "xxhash64" in plan[plan.rindex("Exchange", 0, scan):scan]
+    orders = small_src.orders
+    assert sum(orders.filter(layout.round_of_order() == k).count() for k in range(layout.ROUNDS)) == orders.count()
+
+
 # ---- rejects
 
 def test_malformed_ids_are_listed_and_counted_in_one_pass(spark):
